@@ -273,20 +273,21 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = THRESH
     volume = signed.agg(F.sum("n")).first()[0] or 0
     buckets = max(partitions(spark), math.ceil(volume * float(depth) / 2_000_000))
     need = F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(int((depth - (1 - t)).numerator * t.numerator)) / F.lit(int((depth - (1 - t)).denominator * t.denominator)) - F.lit(1e-9)))
-    kept = materialize(entities.join(sieve(signed, t, depth, buckets), "d").where(F.col("found") >= need).select("id", "digest"), "kept")
+    kept = materialize(entities.join(sieve(signed, t, depth, buckets), "d").where(F.col("found") >= need).select("d", "id"), "kept")
     few = kept.count() <= BROADCAST_IDS
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = [shingles(x or b"", words) for x in b["text"].to_pylist()]
-            yield pa.record_batch({"id": b["id"], "n": pa.array(map(len, sets), pa.int64()), "tokens": pa.array([s.tobytes() for s in sets], pa.binary()), "digest": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())})
+            blobs = [s.tobytes() for s in sets]
+            yield pa.record_batch({"id": pa.array([int.from_bytes(xxhash.xxh3_128_digest(x)[:8], "little", signed=True) for x in blobs], pa.int64()), "n": pa.array(map(len, sets), pa.int64()), "tokens": pa.array(blobs, pa.binary())})
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    ids = kept.select("id")
+    ids, own = kept.select("id"), kept.select(F.col("d").alias("id"))
     chosen = chosen.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    # ids that several rows share have several sets; an id stands for the one that it was kept for
-    sets = chosen.mapInArrow(whole, "id long, n long, tokens binary, digest binary").join(F.broadcast(kept) if few else kept, ["id", "digest"], "left_semi")
-    sets = materialize(sets.dropDuplicates(["id"]).select("id", "n", "tokens"), "sets")
+    # a set goes by the start of its digest from here on; rows that share a doc_id may have different sets
+    sets = chosen.mapInArrow(whole, "id long, n long, tokens binary").join(F.broadcast(own) if few else own, "id", "left_semi")
+    sets = materialize(sets.dropDuplicates(["id"]), "sets")
     lists = materialize(postings(sets, t, buckets), "postings")
     p, q = t.numerator, t.denominator
 
@@ -314,7 +315,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = THRESH
     second = materialize(verify(apart, sets, t), "links")
     comps = materialize(connected_components(first.unionByName(second)), "comps")
 
-    named = materialize(entities.join(comps, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id")), "named")
+    member = materialize(entities.join(comps.withColumnRenamed("id", "d"), "d", "left").select("digest", F.coalesce("component", "d").alias("c"), "id"), "members")
+    smallest = materialize(member.groupBy("c").agg(F.min("id").alias("component_id")), "smallest")
+    named = materialize(member.join(smallest, "c").select("digest", "component_id"), "named")
     out = signed.select("doc_id", "n", "digest").join(named, "digest", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
