@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, maxscore, mixing, neardup, ngram_join, packing, pii, quality
+from . import chat, fixity, line_dedup, maxscore, mixing, neardup, ngram_join, packing, pii, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": packing.op2_packing,
         "op3_topk": maxscore.op3_topk,
         "op4_mixing": mixing.op4_mixing,
+        "op5_fixity": fixity.op5_fixity,
+        "op6_chat": chat.op6_chat,
         "op7_quality": quality.op7_quality,
         "op8_pii": pii.op8_pii,
         "op9_ngram_join": ngram_join.op9_ngram_join,
@@ -23,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": maxscore.op_sql(), "op4_mixing": mixing.sql(), "op10_line_dedup": line_dedup.op_sql()}
+    return {"op3_topk": maxscore.op_sql(), "op4_mixing": mixing.sql(), "op5_fixity": fixity.sql(), "op10_line_dedup": line_dedup.op_sql()}
