@@ -7,8 +7,8 @@ any threshold t, as two sets that reach it share at least ceil(t * n) of the n s
    found in any other set links with nothing. Most documents leave here, before their whole sets move.
 2. Prefixes. Among those left, shingles are ordered rare first. Partners share a shingle among their first
    n - ceil(t * n) + 1. Shingles found once only take up places and give no postings.
-3. Near groups. In each posting list, cut into salted pieces, neighbours by length are verified and
-   connected. That joins a group of near copies with a few pairs for each document.
+3. Near groups. Each posting list has a centre, the set in which the shingle comes earliest: among near copies that is the one
+   with the fewest shingles of its own. All others in the list are verified against the centre only, and connected.
 4. The rest. Lists that still hold several components are joined with length and positional filters, and
    only pairs from different components are verified, once each: after the suffix filter, by their sets. Pairs
    inside a component could not change it.
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, partitions, read, slices
@@ -35,8 +35,6 @@ WORDS = 5
 THRESHOLD = Fraction(4, 5)
 #: Part of a set, in hash order, that the sieve looks at.
 DEPTH = Fraction(3, 10)
-#: Postings in a salted piece of a list in step 3.
-PIECE = 256
 #: Ids of documents that may be broadcast (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 500_000
 
@@ -195,33 +193,37 @@ def postings(sets: DataFrame, t: Fraction, buckets: int) -> DataFrame:
                 yield pa.record_batch([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "ids", "sizes", "tokens"])
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shared shingles with their frequency, dealt by set: four arrays for each bucket of sets."""
         tokens, ids, n = _gather(batches)
         df = _frequency(tokens)
         tokens, ids, n, df = (x[df > 1] for x in (tokens, ids, n, df))
-        order = np.argsort(ids, kind="stable")
-        tokens, ids, n, df = (x[order] for x in (tokens, ids, n, df))
-        cuts = np.append(np.nonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))[0], len(ids)) if len(ids) else np.zeros(1, np.int64)
-        pairs = [(tokens[i:j].tobytes(), df[i:j].astype("<u8").tobytes()) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        yield pa.record_batch({"id": pa.array(ids[cuts[:-1]].view(np.int64), pa.int64()), "n": pa.array(n[cuts[:-1]].view(np.int64), pa.int64()), "part": pa.array([x + y for x, y in pairs], pa.binary())})
+        to = (ids % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+        full = np.nonzero(np.diff(cuts))[0].tolist()
+        rows = [np.stack([x[order[cuts[k] : cuts[k + 1]]] for x in (tokens, ids, n, df.astype(np.uint64))]).tobytes() for k in full]
+        yield pa.record_batch({"bucket": pa.array(full, pa.int32()), "part": pa.array(rows, pa.binary())})
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple[np.ndarray, ...]] = []
-            for i, n, parts in zip(b["id"].to_pylist(), b["n"].to_pylist(), b["parts"].to_pylist(), strict=True):
-                both = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in parts]
-                tokens, df = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both])
-                once = n - len(tokens)
-                room = n - least_shared(n, t) + 1 - once
-                if room > 0:
-                    first = tokens[np.lexsort((tokens, df))[:room]]
-                    out.append((first, np.full(len(first), i), np.full(len(first), n), once + np.arange(len(first))))
-            if out:
-                token, i, n, pos = map(np.concatenate, zip(*out, strict=True))
-                yield pa.record_batch({"token": pa.array(token.view(np.int64)), "id": pa.array(i, pa.int64()), "n": pa.array(n, pa.int64()), "pos": pa.array(pos, pa.int64())})
+        parts = [np.frombuffer(x, np.uint64).reshape(4, -1) for b in batches for x in b["part"].to_pylist()]
+        if not parts:
+            return
+        tokens, ids, n, df = np.concatenate(parts, 1)
+        by = np.lexsort((tokens, df, ids))
+        tokens, ids, n = tokens[by], ids[by], n[by].astype(np.int64)
+        first = np.nonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))[0]
+        many = np.diff(np.append(first, len(ids)))
+        own = n[first]
+        once = own - many  # shingles found in no other set come first
+        room = np.array([x - least_shared(x, t) + 1 for x in own.tolist()], np.int64) - once
+        place = np.arange(len(ids)) - np.repeat(first, many)
+        held = place < np.repeat(room, many)
+        pos = place + np.repeat(once, many)
+        yield pa.record_batch({"token": pa.array(tokens[held].view(np.int64)), "id": pa.array(ids[held].view(np.int64)), "n": pa.array(n[held]), "pos": pa.array(pos[held])})
 
     spread = sets.select("id", "n", "tokens").mapInArrow(scatter, _SCATTER).repartition(buckets, "bucket")
-    by_set = spread.mapInArrow(frequent, "id long, n long, part binary").groupBy("id").agg(F.first("n").alias("n"), F.collect_list("part").alias("parts"))
-    return by_set.mapInArrow(order, "token long, id long, n long, pos long")
+    back = spread.mapInArrow(frequent, "bucket int, part binary").repartition(buckets, "bucket")
+    return back.mapInArrow(order, "token long, id long, n long, pos long")
 
 
 def enough(na: int, nb: int, t: Fraction) -> int:
@@ -296,11 +298,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, t: Fraction = THRESH
         room = F.lit(1) + F.least(F.col(f"{a}.n") - F.col(f"{a}.pos") - 1, F.col(f"{b}.n") - F.col(f"{b}.pos") - 1)
         return (F.col(f"{a}.n") * q >= F.col(f"{b}.n") * p) & (room >= least)
 
-    sizes = materialize(lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
-    salted = lists.join(sizes, "token").withColumn("salt", F.pmod(F.xxhash64("token", "id"), F.ceil(F.col("m") / F.lit(PIECE))))
-    row = F.struct("id", "n", "pos")
-    near = salted.withColumn("prev", F.lag(row).over(Window.partitionBy("token", "salt").orderBy("n", "id"))).where("prev is not null").select(F.col("prev").alias("x"), row.alias("y"))
-    near = near.where(passes("x", "y")).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    row = F.struct("n", "id", "pos")
+    centres = materialize(lists.groupBy("token").agg(F.min(F.struct("pos", "n", "id")).alias("x"), F.count("*").alias("m")).where("m > 1").drop("m"), "centres")
+    near = lists.join(centres, "token").where("id <> x.id").select("x", row.alias("y"))
+    near = near.where(F.when(F.col("x.n") <= F.col("y.n"), passes("x", "y")).otherwise(passes("y", "x"))).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     first = materialize(verify(materialize(near, "near"), sets, t), "links")
     comps = materialize(connected_components(first), "comps")
 
