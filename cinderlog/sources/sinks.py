@@ -71,7 +71,7 @@ def send(events: DataFrame, url: str, headers: dict[str, str] | None = None, bat
                         each = [int(x.get("status", status)) for x in told]
                 except (ValueError, AttributeError, TypeError):
                     pass
-                yield pd.DataFrame({"at": pd.Timestamp(began, unit="ns"), "status": each, "body": text, "err": err, "duration_ns": took, "event": own.tolist()})
+                yield pd.DataFrame({"at": pd.Timestamp(began // 1000, unit="us"), "status": each, "body": text, "err": err, "duration_ns": took, "event": own.tolist()})
 
     return as_json(events).mapInPandas(run, "at timestamp, status int, body string, err string, duration_ns long, event string")
 

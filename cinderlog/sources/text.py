@@ -81,7 +81,7 @@ def read_lines(spark: SparkSession, files: str | list[str]) -> DataFrame:
     """(source_file, line_no, line) for formats of one line an event. Files split over tasks; line_no rises inside a file but has gaps:
     its high part is where the line's split starts."""
     df = spark.read.text([files] if isinstance(files, str) else files)
-    place = F.col("_metadata.file_block_start") * F.lit(1 << 20) + (F.monotonically_increasing_id() & F.lit((1 << 33) - 1))
+    place = F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return df.select(F.col("_metadata.file_path").alias("source_file"), place.alias("line_no"), F.col("value").alias("line"))
 
 
