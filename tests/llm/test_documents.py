@@ -187,7 +187,7 @@ def test_packing(spark, corpus):
     texts = Counter((r["doc_id"], tuple(t.encode(r["text"] or "", add_special_tokens=False).ids + [0])) for r in corpus.collect())
     rows = packing.pack(corpus).toPandas()
     assert rows.sequence_id.is_unique and (rows.offset == 0).all() and (rows.length & (rows.length - 1) == 0).all() and rows.length.max() <= 1024
-    assert (1 << rows.bucket == rows.length).all() and all(zlib.crc32(x) == c and len(x) == 4 * n for x, c, n in zip(rows.ids, rows.ids_crc32, rows.length, strict=True))
+    assert (2**rows.bucket == rows.length).all() and all(zlib.crc32(x) == c and len(x) == 4 * n for x, c, n in zip(rows.ids, rows.ids_crc32, rows.length, strict=True))
     built, whole = Counter(), []
     for r in rows.sort_values("sequence_id").itertuples():  # pieces of a row stand together
         whole = whole if r.start else []
