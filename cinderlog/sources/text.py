@@ -14,6 +14,8 @@ from glob import glob
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Ends the names of files that hold read positions.
+STATE = ".tail.state"
 LINES = "source_file string, line_no long, line string"
 
 
@@ -50,19 +52,19 @@ def excluded(path: str, patterns: Iterable[str]) -> bool:
 
 
 def state_path(log: str, statefile: str = "", several: bool = False, hash_paths: bool = False) -> str:
-    """Where a log's read position is kept: the given file, or in the given (or the temporary) folder the log's name without .log, ending in .leash.state."""
+    """Where a log's read position is kept: the given file, or in the given (or the temporary) folder the log's name without .log, ending in STATE."""
     folder = tempfile.gettempdir()
     if statefile:
         if not several and not os.path.isdir(statefile):
             return statefile
         folder = statefile if os.path.isdir(statefile) else folder
-    name = os.path.basename(log).removesuffix(".log") + ".leash.state"
+    name = os.path.basename(log).removesuffix(".log") + STATE
     return os.path.join(folder, name + (f"-{hashlib.sha1(log.encode()).hexdigest()}" if hash_paths else ""))
 
 
 def prune(files: Iterable[str], filters: Iterable[str] = (), statefile: str = "") -> list[str]:
     """Paths that are neither excluded nor state files. None left is an error."""
-    kept = [f for f in files if not f.endswith(".leash.state") and f != statefile and not excluded(f, filters)]
+    kept = [f for f in files if not f.endswith(STATE) and f != statefile and not excluded(f, filters)]
     if not kept:
         raise ValueError("no files left to read")
     return kept

@@ -23,16 +23,16 @@ def test_excluded_paths():
     assert keep("/var/log/[ab].log", "/tmp/*") == ["/var/log/x/a.log"]
     with pytest.raises(ValueError):
         keep("[bad")
-    assert text.prune([*paths, "/tmp/a.leash.state", "/s"], statefile="/s") == paths
+    assert text.prune([*paths, "/tmp/a.tail.state", "/s"], statefile="/s") == paths
 
 
 def test_state_paths(tmp_path):
     t = tempfile.gettempdir()
-    assert text.state_path("/var/log/foo.log") == f"{t}/foo.leash.state"
-    assert text.state_path("/var/log/foo") == f"{t}/foo.leash.state"
+    assert text.state_path("/var/log/foo.log") == f"{t}/foo.tail.state"
+    assert text.state_path("/var/log/foo") == f"{t}/foo.tail.state"
     assert text.state_path("/a/foo.log", "/x/state") == "/x/state"
-    assert text.state_path("/a/foo.log", str(tmp_path), several=True) == f"{tmp_path}/foo.leash.state"
-    assert text.state_path("/a/foo.log", str(tmp_path), hash_paths=True) == f"{tmp_path}/foo.leash.state-{hashlib.sha1(b'/a/foo.log').hexdigest()}"
+    assert text.state_path("/a/foo.log", str(tmp_path), several=True) == f"{tmp_path}/foo.tail.state"
+    assert text.state_path("/a/foo.log", str(tmp_path), hash_paths=True) == f"{tmp_path}/foo.tail.state-{hashlib.sha1(b'/a/foo.log').hexdigest()}"
 
 
 def test_read_lines(spark, tmp_path):
