@@ -59,6 +59,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
                 start, total = i, 0
             total += n
         yield b.slice(start)
+        pa.default_memory_pool().release_unused()
 
 
 def hex_to_unit(hex_text: Column) -> Column:

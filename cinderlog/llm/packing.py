@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import read, slices
 
 #: Distinct chunks that a worker remembers.
-CACHE = 800_000
+CACHE = 150_000
 #: Longest sequence; a power of two.
 LENGTH = 1024
 #: Id that ends each document.
@@ -53,15 +53,19 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.fast = self._same(json.loads(Path(path).read_text(encoding="utf-8")))
         if self.fast:
             self.line_end = self.fast.encode_ordinary("\n")[0]
             self.known = {b"\n": self.line_end.to_bytes(4, "little")}
 
+    @functools.cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        return Tokenizer.from_file(self.path)
+
     @staticmethod
     def _same(file: dict):
         """The faster encoder, if the file's ids are those of its bytes and then its merges, in order."""
@@ -110,7 +114,9 @@ class Encoder:
         at = chunks.indices.to_numpy()
         n = size[at]
         total = np.concatenate([[0], np.cumsum(n)])
-        out = ids[np.repeat(start[at] - total[:-1], n) + np.arange(total[-1])]
+        where = np.repeat((start[at] - total[:-1]).astype(np.int32), n)
+        where += np.arange(total[-1], dtype=np.int32)
+        out = ids[where]
         first = np.cumsum([0, *(len(x) + 1 for x in texts)])
         a, b = np.searchsorted(cuts, first[:-1]), np.searchsorted(cuts, first[1:] - 1)
         return [out[total[i] : total[j]].tobytes() for i, j in zip(a.tolist(), b.tolist(), strict=True)]
@@ -162,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, tail = encoder(tokenizer), end.to_bytes(4, "little")
-        for b in slices(batches, most=24 << 20):
+        for b in slices(batches, most=6 << 20):
             rows: list[tuple] = []
             for i, x in zip(b["doc_id"].to_pylist(), coder.encode([x or b"" for x in b["text"].to_pylist()]), strict=True):
                 x += tail
