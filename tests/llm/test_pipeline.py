@@ -44,7 +44,8 @@ def test_stages_and_run(spark, tmp_path):
     assert sum("A line that all good" in x for x in deduped.values()) == 1 and len(deduped) == 180
     kept = {r["doc_id"] for r in out["ngram_join"].collect()}
     near = [i for i in texts if i % 20 == 1]
-    assert kept == set(deduped) - set(near[1:])
+    # from 101 on they are exact copies, whose one line the stage before has left in the first: empty, and like nothing
+    assert all(deduped[i] == "" for i in near if i > 100) and kept == set(deduped) - {21, 41, 61, 81}
     mixed = Counter(r["doc_id"] for r in out["mixing"].collect())
     assert set(mixed) <= kept and max(mixed.values()) <= 2
     pieces = out["packing"].toPandas()
