@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlog.llm.common import materialize, read
+from cinderlog.llm.common import WORD, materialize, read
 from cinderlog.llm.line_dedup import dedup_lines
 from cinderlog.llm.mixing import mix
 from cinderlog.llm.ngram_join import BROADCAST_IDS, jaccard_components
@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat across documents stay in the first one; a document left without text stays, empty. n_chars follows the text."""
+    """Lines that repeat across documents stay in the first one; a document left without text stays, empty, up to mixing. n_chars follows the text."""
     out = dedup_lines(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -37,8 +37,15 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources come to their target weights; documents repeat, or drop out, as the mix says."""
-    return mix(docs)
+    """Sources come to their target weights; documents repeat, or drop out, as the mix says.
+
+    Documents that line_dedup has left without a word do not enter the mix: all their lines stand in other documents, so
+    that of a group of exact copies one goes on. Texts that never had a word are what they were, and stay.
+    """
+    said = F.coalesce("text", F.lit("")).rlike(WORD)
+    never = read(spark, sf_dir, "documents").where(~said).select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text")).distinct()
+    blank = docs.where(~said).join(never, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.coalesce("text", F.lit("")) == F.col("_text")), "left_semi")
+    return mix(docs.where(said).unionByName(blank))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

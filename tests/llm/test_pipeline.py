@@ -57,6 +57,16 @@ def test_stages_and_run(spark, tmp_path):
     assert np.all(pieces.offset == 0)
 
 
+def test_one_of_exact_copies_is_mixed(spark, tmp_path):
+    text = "The first long line of a copied text\nand its second long line"
+    texts = {1: text, 2: text, 3: text.replace("\n", "\n\n\n"), 4: " \n ", 5: "A text that is like none of the others", 6: None}
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        docs = materialize(stage(spark, docs, str(tmp_path)), name)
+    assert {r["doc_id"] for r in docs.collect()} == {1, 4, 5, 6}  # one source, rate 1.5: each that is mixed comes once at least
+
+
 def test_catalog():
     names = list(catalog.queries())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
