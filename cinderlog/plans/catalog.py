@@ -276,9 +276,23 @@ def prefix_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 select doc_id, coalesce(nullif(regexp_extract(line, '^(\\w)\\w* (\\w+)', 1), ''), nullif(regexp_extract(line, '(\\w+)', 1), '')) as first from (select doc_id, split_part(text, chr(10), 1) as line from documents where text <> '')
 where regexp_matches(line, '\\w')""")
 def first_match_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of first lines only, as its SQL has it; first_match_regex_lines reads all."""
     lines = _lines(table(spark, sf_dir, "documents").where("text <> ''"), F.split_part("text", F.lit("\n"), F.lit(1)), "doc_id")
-    got = parsers.parse_regex(lines, patterns=[r"^(?P<first>\w)\w* (?P<second>\w+)", r"(?P<first>\w+)"], now=NOW)
-    return got.select(F.col("line_no").alias("doc_id"), s("first").alias("first"))
+    return _first_match(lines).select(F.col("line_no").alias("doc_id"), s("first").alias("first"))
+
+
+@query("""
+select doc_id, line_no, coalesce(nullif(regexp_extract(line, '^(\\w)\\w* (\\w+)', 1), ''), nullif(regexp_extract(line, '(\\w+)', 1), '')) as first
+from (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as line_no from documents) where regexp_matches(line, '\\w')""")
+def first_match_regex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document."""
+    d = table(spark, sf_dir, "documents")
+    lines = d.select(F.col("doc_id").cast("string").alias("source_file"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
+    return _first_match(lines).select(F.col("source_file").cast("long").alias("doc_id"), "line_no", s("first").alias("first"))
+
+
+def _first_match(lines: DataFrame) -> DataFrame:
+    return parsers.parse_regex(lines, patterns=[r"^(?P<first>\w)\w* (?P<second>\w+)", r"(?P<first>\w+)"], now=NOW)
 
 
 # --- parsers: lines made from table columns, read back
@@ -311,9 +325,18 @@ def parse_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select page_id, '10.0.0.' || (page_id % 200) as remote_addr, 200 + page_id % 7 as status, split_part(url, '?', 1) as url, strlen(html)::bigint as bytes, epoch_us(timestamp '2024-01-01') + page_id * 1000000 as us from pages")
 def parse_nginx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    """Urls up to their query strings, as its SQL has it; parse_nginx_urls reads whole ones."""
+    return _access_log(table(spark, sf_dir, "pages"), F.split_part("url", F.lit("?"), F.lit(1)))
+
+
+@query("select page_id, '10.0.0.' || (page_id % 200) as remote_addr, 200 + page_id % 7 as status, url, strlen(html)::bigint as bytes, epoch_us(timestamp '2024-01-01') + page_id * 1000000 as us from pages")
+def parse_nginx_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _access_log(table(spark, sf_dir, "pages"), F.col("url"))
+
+
+def _access_log(p: DataFrame, url: Column) -> DataFrame:
     t = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("page_id")), "dd/MMM/yyyy:HH:mm:ss +0000")
-    line = F.concat(F.lit("10.0.0."), (F.col("page_id") % 200).cast("string"), F.lit(" - - ["), t, F.lit('] "'), F.split_part("url", F.lit("?"), F.lit(1)), F.lit('" '), (200 + F.col("page_id") % 7).cast("string"), F.lit(" "), F.octet_length("html").cast("string"))
+    line = F.concat(F.lit("10.0.0."), (F.col("page_id") % 200).cast("string"), F.lit(" - - ["), t, F.lit('] "'), url, F.lit('" '), (200 + F.col("page_id") % 7).cast("string"), F.lit(" "), F.octet_length("html").cast("string"))
     d = parsers.parse_nginx(_lines(p, line, "page_id"), log_format='$remote_addr - $remote_user [$time_local] "$request" $status $bytes', now=NOW)
     v = lambda k: F.try_variant_get(get("data", k), "$", "long")
     return d.select(F.col("line_no").alias("page_id"), s("remote_addr").alias("remote_addr"), v("status").alias("status"), s("request").alias("url"), v("bytes").alias("bytes"), F.unix_micros("timestamp").alias("us"))

@@ -168,3 +168,11 @@ def test_catalog(spark, duck, name):
     assert cols == sorted(b.columns)
     f = lambda x: sorted(map(str, x[cols].astype(object).where(x[cols].notna(), None).itertuples(index=False)))
     assert f(a) == f(b)
+
+
+def test_whole_texts_and_urls(spark, tmp_path):
+    spark.createDataFrame([(1, "one two\n\n7"), (2, "\nlast"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "http://a/b?c=d&e=f?g", "<p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalog.queries()["first_match_regex_lines"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(1, 0, "o"), (1, 2, "7"), (2, 1, "last")]
+    assert [r["url"] for r in catalog.queries()["parse_nginx_urls"](spark, str(tmp_path)).collect()] == ["http://a/b?c=d&e=f?g"]
