@@ -61,6 +61,7 @@ class Model(NamedTuple):
     labels: np.ndarray
     prior: np.ndarray  # vote weight of label 0 and 1
     power: float  # brings the best cut to CUT
+    fitted: bool = True  # False: labels were too few, or of one kind
 
     def latent(self, x: np.ndarray) -> np.ndarray:
         v = x @ self.axes
@@ -88,7 +89,7 @@ def fit(x: np.ndarray, y: np.ndarray, dims: int = DIMS) -> Model:
         axes = np.zeros((WIDTH, 1), np.float32)
         axes[0] = 1e-6
         axes[1:] = 1e-3
-        return Model(axes, np.ones((2, 1), np.float32), np.array([0, 1]), np.ones(2), 1.0)  # both labels as near: 0.5
+        return Model(axes, np.ones((2, 1), np.float32), np.array([0, 1]), np.ones(2), 1.0, False)  # both labels as near: 0.5
     n = len(y)
     weight = np.log((1 + n) / (1 + (x > 0).sum(0))).astype(np.float32) + 0.5
     weight[TERMS:] = 3
@@ -134,15 +135,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return fit(x, np.array([r["quality"] for r in got], np.int64))
 
 
-def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, fitted: Model | None = None) -> DataFrame:
     """docs (doc_id, text, ...), labels (doc_id, quality): docs' columns and q_score (double, 0 to 1), one row for each row of docs.
 
     Every whole text gets the cosine-weighted vote of its nearest labelled vectors, which are found by exact products
     with all of them. Neither labels nor other columns are inputs. Defined cases: null text is an empty
     one; texts without any term, such as these, score 0; labels other than 0 and 1 are
     not learned, of several for an id the smallest counts; without labels of both kinds all other scores are 0.5; a column q_score is replaced.
+    A model that is given is used, and labels are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample))
+    model = docs.sparkSession.sparkContext.broadcast(fitted or train(docs, labels, sample))
     rest = [c for c in docs.columns if c != "q_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

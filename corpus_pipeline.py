@@ -14,12 +14,16 @@ from cinderlog.llm.line_dedup import dedup_lines
 from cinderlog.llm.mixing import mix
 from cinderlog.llm.ngram_join import BROADCAST_IDS, jaccard_components
 from cinderlog.llm.packing import pack
-from cinderlog.llm.quality import CUT, classify
+from cinderlog.llm.quality import CUT, classify, train
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    return classify(docs, read(spark, sf_dir, "labels")).where(F.col("q_score") >= CUT).select(*docs.columns)
+    """Documents that the quality classifier rejects go. Where labels do not suffice to fit it, it says nothing of any document: all stay."""
+    labels = read(spark, sf_dir, "labels")
+    model = train(docs, labels)
+    if not model.fitted:
+        return docs
+    return classify(docs, labels, fitted=model).where(F.col("q_score") >= CUT).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

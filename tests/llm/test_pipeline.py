@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from cinderlog.llm import catalog
@@ -67,6 +68,15 @@ def test_one_of_exact_copies_is_mixed(spark, tmp_path):
     assert {r["doc_id"] for r in docs.collect()} == {1, 4, 5, 6}  # one source, rate 1.5: each that is mixed comes once at least
 
 
+@pytest.mark.parametrize("kinds", [(), (1,)])
+def test_without_a_classifier_all_stay(spark, tmp_path, kinds):
+    texts = {1: "One text of some words", 2: "Another that is quite unlike it", 3: None}
+    spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, q, 0) for i in texts for q in kinds], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in out} == set(texts)
+
+
 def test_catalog():
     names = list(catalog.queries())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
