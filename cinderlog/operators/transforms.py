@@ -10,6 +10,8 @@ from ..functions.compat import DATA, double_of, get, kind, merge, record, string
 
 #: Rows of a lookup's dimension that may be broadcast.
 LOOKUP_ROWS = 200_000
+#: Source fields that a lookup DataFrame may name without ``fields`` being given; each is a join.
+LOOKUP_FIELDS = 1000
 
 
 def _with(df: DataFrame, data: Column) -> DataFrame:
@@ -45,6 +47,7 @@ def augment(df: DataFrame, lookup: dict[str, dict[str, dict[str, object]]] | Dat
 
     A dict is a file's content; a DataFrame is (src_field, val, add), joined by equality: broadcast if it has at most
     LOOKUP_ROWS rows, else shuffled. All lookups see the row as it was; later source fields win.
+    Source fields not given are read from the DataFrame; more than LOOKUP_FIELDS of them are an error.
     """
     if isinstance(lookup, dict):
         import json
@@ -55,7 +58,10 @@ def augment(df: DataFrame, lookup: dict[str, dict[str, dict[str, object]]] | Dat
         small = len(rows) <= LOOKUP_ROWS
     else:
         table = lookup_table(lookup)
-        fields = fields or [r[0] for r in table.select("src_field").distinct().limit(1000).collect()]
+        if not fields:
+            fields = [r[0] for r in table.select("src_field").distinct().limit(LOOKUP_FIELDS + 1).collect()]
+            if len(fields) > LOOKUP_FIELDS:
+                raise ValueError(f"the lookup names more than {LOOKUP_FIELDS} source fields")
         small = table.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
     added = []
     for i, f in enumerate(fields):

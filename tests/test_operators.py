@@ -176,3 +176,9 @@ def test_whole_texts_and_urls(spark, tmp_path):
     got = catalog.queries()["first_match_regex_lines"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == [(1, 0, "o"), (1, 2, "7"), (2, 1, "last")]
     assert [r["url"] for r in catalog.queries()["parse_nginx_urls"](spark, str(tmp_path)).collect()] == ["http://a/b?c=d&e=f?g"]
+
+
+def test_augment_refuses_too_many_fields(spark):
+    rows = spark.range(1001).select(F.concat(F.lit("f"), "id").alias("src_field"), F.lit("x").alias("val"), F.expr("cast(map() as map<string, variant>)").alias("add"))
+    with pytest.raises(ValueError, match="source fields"):
+        transforms.augment(envelope(spark, {"f1": "x"}), rows)
