@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,9 +24,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Unset, a local session (tests) gets a new local one; a cluster is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="cinderlog-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -46,7 +49,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that ``column`` (binary or string) holds at most about ``most`` bytes, one row at least."""
     for b in batches:
         if not b.num_rows:

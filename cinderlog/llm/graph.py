@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+def _done(e: DataFrame) -> bool:
+    """Whether e is a forest of stars: each node hangs on one other, on which only roots are hung."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("below")), F.struct(F.col("v").alias("id"), F.lit(0).alias("below")))).alias("x")).select("x.*")
+    per = ends.groupBy("id").agg(F.sum("below").alias("below"), F.count("*").alias("n"))
+    return per.where("below > 1 or below = 1 and n > 1").limit(1).count() == 0
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a, b): any orderable type, either direction, repeats and loops allowed, nulls ignored.
 
-    Returns (id, component): each id that has an edge to another, with the smallest id it can reach.
+    Returns (id, component): each id that has an edge to another, with the smallest id it can reach; no rows without edges.
     Every step keeps the graph connected and writes its edges to the shared folder, so that lineage
     stays one step long. No step gathers the neighbours of a node: a hot node costs a partial
     minimum and a join whose sides are plain scans, which adaptive execution can split.
@@ -20,22 +27,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
-    while True:
-        parent = materialize(e.groupBy("u").agg(F.min("v").alias("p")), "parents")
-        stats = e.count(), parent.count()
-        if not stats[0]:
-            break
-        if stats[0] > stats[1]:  # small-star: a node and its smaller neighbours hang on the smallest of them
-            j = e.join(parent, "u")
-            e = j.select(F.explode(F.array(F.struct(F.col("u"), F.col("p").alias("v")), F.struct(F.col("v").alias("u"), F.col("p").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
-            e = materialize(e, "edges")
-            parent = materialize(e.groupBy("u").agg(F.min("v").alias("p")), "parents")
+    while not _done(e):
+        # small-star: a node and its smaller neighbours hang on the smallest of them
+        j = e.join(e.groupBy("u").agg(F.min("v").alias("p")), "u")
+        hung = j.select(F.explode(F.array(F.struct(F.col("u"), F.col("p").alias("v")), F.struct(F.col("v").alias("u"), F.col("p").alias("v")))).alias("x")).select("x.u", "x.v").where("u <> v").distinct()
         # large-star: larger neighbours of a node hang on its smallest neighbour
-        up = parent.select(F.col("u").alias("v"), F.col("p"))
-        moved = materialize(e.join(up, "v", "left").select("u", F.coalesce("p", "v").alias("v"), F.col("p").isNotNull().alias("m")), "moved")
-        still = moved.where("m").limit(1).count() == 0
-        e = materialize(moved.select("u", "v").distinct(), "edges")
-        if still and e.count() == parent.count():
-            break
+        up = hung.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("p"))
+        e = materialize(hung.join(up, "v", "left").select("u", F.coalesce("p", "v").alias("v")).distinct(), "edges")
     roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
