@@ -168,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, en
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, tail = encoder(tokenizer), end.to_bytes(4, "little")
-        for b in slices(batches, most=6 << 20):
+        for b in slices(batches, most=3 << 20):
             rows: list[tuple] = []
             for i, x in zip(b["doc_id"].to_pylist(), coder.encode([x or b"" for x in b["text"].to_pylist()]), strict=True):
                 x += tail
