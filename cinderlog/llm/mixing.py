@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, hex_to_unit, materialize, read
+from .common import WORD, hex_to_unit, materialize, partitions, read
 
 #: Weights by rank of the source's name, repeating.
 WEIGHTS = (3, 1, 2)
@@ -15,6 +15,8 @@ SHARE = 1.5
 MOST = 2.0
 #: Hash seeds tried for each source.
 SEEDS = 16
+#: Sources whose rates are broadcast; beyond it they are joined by shuffle.
+SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -22,25 +24,32 @@ def word_count(text: Column) -> Column:
 
 
 def fill_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """totals (source, source_size): adds ``target``.
+    """totals (source, source_size), a row for each source: adds ``target``.
 
     Targets share ``share`` of all sizes by weight; a source over ``most`` times its size stops
-    there and the rest is shared anew, until none is over. That fixed point is min(most * size, level * weight):
-    sources sorted by most * size / weight stop from the left for as long as the level that the
-    others get is over that ratio. One row per source, so the windows here run over as few rows.
+    there and the rest is shared anew, until none is over. That fixed point is min(most * size, level * weight), and a source
+    that has stopped stays so, as the level only rises: each round is one aggregate over the sources. Ranks
+    come from a range partitioning, its parts' sizes and places inside them, so that no task gathers all sources.
     """
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
-    k = (F.row_number().over(by_name) - 1) % len(weights)
-    t = totals.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (k + 1).cast("int")).cast("double"))
-    t = t.withColumn("cap", F.col("source_size") * F.lit(most))
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").isNull(), "source")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    everywhere = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    budget = F.sum("source_size").over(everywhere) * F.lit(share)
-    t = t.withColumn("level", (budget - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (F.sum("weight").over(everywhere) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-    t = t.withColumn("stops", F.col("cap") <= F.col("level") * F.col("weight"))
-    level = F.min(F.when(~F.col("stops"), F.struct(F.col("cap") / F.col("weight"), F.col("source").isNull(), F.col("source"), F.col("level")))).over(everywhere)
-    return t.select("source", "source_size", F.when(F.col("stops"), F.col("cap")).otherwise(level["level"] * F.col("weight")).alias("target"))
+    spark = totals.sparkSession
+    part = totals.repartitionByRange(partitions(spark), F.col("source").isNull(), "source").withColumn("_part", F.spark_partition_id())
+    part = materialize(part, "parts")
+    sizes = {r["_part"]: r["n"] for r in part.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # a row for each partition
+    first = {k: sum(n for j, n in sizes.items() if j < k) for k in sizes}
+    before = spark.createDataFrame(list(first.items()), "_part int, _first long")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(F.col("source").isNull(), "source")) - 1
+    k = (F.col("_first") + place) % len(weights)
+    t = part.join(F.broadcast(before), "_part").withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (k + 1).cast("int")).cast("double"))
+    t = materialize(t.select("source", "source_size", "weight", (F.col("source_size") * F.lit(most)).alias("cap")), "weighed")
+    budget, weight = t.agg(F.sum("source_size"), F.sum("weight")).first()
+    budget = (budget or 0) * share
+    level, stopped = budget / weight if weight else 0.0, -1
+    while True:
+        n, caps, held = t.where(F.col("cap") <= F.lit(level) * F.col("weight")).agg(F.count("*"), F.sum("cap"), F.sum("weight")).first()
+        if n == stopped or held == weight or not n:
+            break
+        level, stopped = (budget - caps) / (weight - held), n
+    return t.select("source", "source_size", F.least(F.col("cap"), F.lit(level) * F.col("weight")).alias("target"))
 
 
 def draw(doc_id: Column, seed: int) -> Column:
@@ -53,32 +62,50 @@ def plan_mix(docs: DataFrame, seeds: int = SEEDS, **how) -> DataFrame:
     A document comes floor(rate) times, rate being target over size of its source, plus once more if
     the hash of its id and a seed falls under the fraction. Of ``seeds`` seeds a source takes the
     one whose copies come nearest to its target (ties: the smallest), so that a source of few or very
-    uneven documents meets its target too. Sums per source are the only thing gathered.
+    uneven documents meets its target too. For one seed the extra copy has the fraction as its probability; the choice among
+    seeds changes that where a source has few documents. seeds=1 chooses nothing. Sums per source are the only thing gathered.
     Defined cases: null and blank texts have size 0 and no copies beyond the draw's (0 words);
     null ids draw as the empty id; rows with the same id draw alike; a null source is a source of its own,
     last; a source without words has rate 0.
     """
     sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    chosen = _chosen(sized, seeds, **how)
+    out = sized.join(chosen, sized["source"].eqNullSafe(chosen["source"])).drop(chosen["source"])
+    return out.select("doc_id", "source", "size", "source_size", "target", copies(F.col("doc_id"), F.struct("seed", "whole", "part")).alias("copies"))
+
+
+def copies(doc_id: Column, chosen: Column) -> Column:
+    u = hex_to_unit(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), chosen["seed"].cast("string"))))
+    return chosen["whole"] + (u < chosen["part"]).cast("long")
+
+
+def _chosen(sized: DataFrame, seeds: int, **how) -> DataFrame:
+    """sized (doc_id, source, size): (source, source_size, target, whole, part, seed), broadcast if there are few sources."""
     totals = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "totals")
+    few = totals.count() <= SOURCES
+    near = lambda t: F.broadcast(t) if few else t
     rates = fill_targets(totals, **how).withColumn("rate", F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0)))
-    rates = materialize(rates.withColumn("whole", F.floor("rate")).withColumn("part", F.col("rate") - F.floor("rate")), "rates")
+    rates = near(materialize(rates.withColumn("whole", F.floor("rate")).withColumn("part", F.col("rate") - F.floor("rate")), "rates"))
     j = sized.join(rates, sized["source"].eqNullSafe(rates["source"])).drop(rates["source"])
     gained = [F.sum(F.when(draw(F.col("doc_id"), s) < F.col("part"), F.col("size")).otherwise(0)).alias(f"g{s}") for s in range(seeds)]
     sums = j.groupBy("source", "source_size", "target", "whole", "part").agg(*gained)
     errors = F.array(*(F.struct(F.abs(F.col("whole") * F.col("source_size") + F.col(f"g{s}") - F.col("target")).alias("e"), F.lit(s).alias("s")) for s in range(seeds)))
-    chosen = materialize(sums.select("source", "source_size", "target", "whole", "part", F.array_min(errors)["s"].alias("seed")), "chosen")
-    out = sized.join(chosen, sized["source"].eqNullSafe(chosen["source"])).drop(chosen["source"])
-    u = hex_to_unit(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("seed").cast("string"))))
-    return out.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") + (u < F.col("part")).cast("long")).alias("copies"))
+    return near(materialize(sums.select("source", "source_size", "target", "whole", "part", F.array_min(errors)["s"].alias("seed")), "chosen"))
 
 
-def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed documents themselves: every row of ``docs`` as many times as plan_mix says, all columns kept."""
-    plan = plan_mix(docs, **how).select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies")).distinct()
-    size = word_count(docs["text"])
-    j = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_mix_id"]) & docs["source"].eqNullSafe(plan["_mix_source"]) & (size == plan["_mix_size"]))
-    times = F.when(plan["_mix_copies"] > 0, F.sequence(F.lit(1), plan["_mix_copies"].cast("int"))).otherwise(F.array().cast("array<int>"))
-    return j.withColumn("_mix_copy", F.explode(times)).select(*(docs[c] for c in docs.columns))
+def mix(docs: DataFrame, seeds: int = SEEDS, **how) -> DataFrame:
+    """The mixed documents themselves: every row of ``docs`` as many times as plan_mix says, all columns kept, whatever their names.
+
+    Only ids, sources and sizes are gathered; a document meets its source's rate and seed where it is read, and no text
+    moves unless there are more than SOURCES sources.
+    """
+    chosen = _chosen(materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes"), seeds, **how)
+    own = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"))  # one column, so that no name can clash
+    rate = F.struct("seed", "whole", "part")
+    j = own.join(chosen.select(F.struct("source").alias("of"), rate.alias("rate")), F.col("row.source").eqNullSafe(F.col("of.source")))
+    n = copies(F.col("row.doc_id"), F.col("rate")).cast("int")
+    times = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return j.select("row", F.explode(times)).select("row.*")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
