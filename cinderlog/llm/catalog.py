@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": maxscore.op_sql(), "op4_mixing": mixing.sql(), "op5_fixity": fixity.sql(), "op10_line_dedup": line_dedup.op_sql()}
+    return {"op1_embedding_neardup": neardup.op_sql(), "op3_topk": maxscore.op_sql(), "op4_mixing": mixing.sql(), "op5_fixity": fixity.sql(), "op9_ngram_join": ngram_join.op_sql(), "op10_line_dedup": line_dedup.op_sql()}
