@@ -22,8 +22,8 @@ from .common import materialize, read
 K = 5
 SCALE = 256
 EVERY = 50
-#: Queries that are broadcast at a time; a pass over all rows for each such chunk.
-CHUNK = 16384
+#: Queries that are broadcast at a time, and their bytes, at most; a pass over all rows for each such chunk.
+CHUNK, CHUNK_BYTES = 16384, 8 << 20
 #: Rows of a shard.
 SHARD = 8192
 #: Rows whose scores give each query its first bound.
@@ -35,11 +35,11 @@ EXACT = 1 << 53
 
 
 def quantise(df: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, x array<long>): floor(scale * component); one row for each vec_id, the smallest; others take no part."""
+    """(vec_id, x array<long>): floor(scale * component), a row for each row; those that can't be compared take no part."""
     v = F.col("embedding").cast("array<double>")
     fine = df.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
     fine = fine.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))))
-    return fine.groupBy("vec_id").agg(F.min("v").alias("v")).select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("x"))
+    return fine.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("x"))
 
 
 def _rows(lists: list[list[int]], width: int) -> np.ndarray:
@@ -89,13 +89,13 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, chu
     """df, queries (vec_id, embedding array, ...): (query_id, rank, vec_id, score): for each query the k rows of df, other
     than that of its own vec_id, of highest inner product; ties to the smaller vec_id; all, if there are fewer.
 
-    Queries go in chunks of about ``chunk`` (the broadcast's bound), each a pass over df. Defined cases: null vectors, empty ones and those holding null
-    or non-finite components take no part, nor do null ids; rows that share a vec_id count once (the smallest vector); a missing component
-    counts as 0; other columns are not read.
+    Queries go in chunks of a bounded size (the broadcast), each a pass over df whose hits are written. Defined cases: null vectors, empty ones and
+    those holding null or non-finite components take no part, nor do null ids; every row is a candidate of its own, and a query of its own, also where
+    rows share a vec_id, but for the rows of the query's vec_id, which are its own; a missing component counts as 0; other columns are not read.
     """
     spark = df.sparkSession
     rows = materialize(quantise(df, scale), "rows")
-    asked = materialize(quantise(queries, scale), "asked")
+    asked = materialize(quantise(queries, scale).withColumn("q", F.monotonically_increasing_id()), "asked")
     # the only scores seen so far: a fixed draw, of bounded size
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEED_ROWS).collect()
     width = max((x or 0 for t in (rows, asked) for (x,) in [t.agg(F.max(F.size("x"))).first()]), default=0)
@@ -103,15 +103,30 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, chu
     if not drawn or not width:
         return spark.createDataFrame([], kind)
     sample = spark.sparkContext.broadcast((np.array([x[0] for x in drawn]), _rows([x[1] for x in drawn], width)))
-    parts = math.ceil(asked.count() / chunk)
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries with the score that their k-th best among the drawn rows has."""
+        sid, s = sample.value
+        for whole in batches:
+            for i in range(0, whole.num_rows, 1024):
+                b = whole.slice(i, 1024)
+                qids, q = b["vec_id"].to_numpy(), _rows(b["x"].to_pylist(), width)
+                floor = np.full(len(q), -np.inf)
+                if len(q) and len(sid) > k and max(1, int(np.abs(s).max())) * max(1, int(np.abs(q).max())) * width < EXACT:
+                    x = q.astype(float) @ s.astype(float).T
+                    x[qids[:, None] == sid] = -np.inf
+                    floor = np.partition(x, x.shape[1] - k, 1)[:, x.shape[1] - k]
+                yield pa.record_batch({"q": b["q"], "vec_id": b["vec_id"], "x": b["x"], "floor": pa.array(floor)})
+
+    asked = materialize(asked.select("q", "vec_id", "x").mapInArrow(bounded, "q long, vec_id long, x array<long>, floor double"), "bounded")
+    parts = max(1, math.ceil(asked.count() / min(chunk, max(1, CHUNK_BYTES // (8 * width)))))
     found = None
     for part in range(parts):
-        own = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).collect()
-        told = spark.sparkContext.broadcast((np.array([x[0] for x in own], np.int64), _rows([x[1] for x in own], width)))
+        own = asked.where(F.pmod(F.xxhash64("q"), F.lit(parts)) == part).collect()
+        told = spark.sparkContext.broadcast((np.array([x["q"] for x in own], np.int64), np.array([x["vec_id"] for x in own], np.int64), _rows([x["x"] for x in own], width), np.array([x["floor"] for x in own], float)))
 
         def run(batches: Iterator[pa.RecordBatch], told=told) -> Iterator[pa.RecordBatch]:
-            qids, q = told.value
-            floor = None
+            number, qids, q, floor = told.value
 
             def shards() -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 ids, lists = [], []
@@ -124,27 +139,18 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, chu
                 if ids:
                     yield np.array(ids), _rows(lists, width)
 
-            for ids, m in shards():
-                if not len(q):
-                    return
-                if floor is None:  # k-th best among the drawn rows
-                    sid, s = sample.value
-                    small = max(1, int(np.abs(s).max())) * max(1, int(np.abs(q).max())) * width < EXACT
-                    floor = np.full(len(q), -np.inf)
-                    for i in range(0, len(q), 1024) if small and len(sid) > k else ():
-                        x = q[i : i + 1024].astype(float) @ s.astype(float).T
-                        x[qids[i : i + 1024, None] == sid] = -np.inf
-                        floor[i : i + 1024] = np.partition(x, x.shape[1] - k, 1)[:, x.shape[1] - k]
-                out = [(a, x, y) for a, x, y in search_shard(ids, m, qids, q, floor, k) if len(x)]
+            for ids, m in shards() if len(q) else ():
+                out = [(i, a, x, y) for i, (a, x, y) in zip(number.tolist(), search_shard(ids, m, qids, q, floor, k), strict=True) if len(x)]
                 if out:
-                    yield pa.record_batch({"query_id": pa.array(np.repeat([a for a, _, _ in out], [len(x) for _, x, _ in out]), pa.int64()), "vec_id": pa.array(np.concatenate([x for _, x, _ in out]), pa.int64()), "score": pa.array([int(s) for _, _, y in out for s in y], pa.int64())})
+                    times = [len(x) for _, _, x, _ in out]
+                    yield pa.record_batch({"q": pa.array(np.repeat([i for i, *_ in out], times), pa.int64()), "query_id": pa.array(np.repeat([a for _, a, _, _ in out], times), pa.int64()), "vec_id": pa.array(np.concatenate([x for _, _, x, _ in out]), pa.int64()), "score": pa.array([int(s) for *_, y in out for s in y], pa.int64())})
 
-        hits = rows.mapInArrow(run, "query_id long, vec_id long, score long")
+        order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+        hits = rows.mapInArrow(run, "q long, query_id long, vec_id long, score long")
+        hits = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        hits = hits if parts == 1 else materialize(hits, "hits")
         found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        return spark.createDataFrame([], kind)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,8 +161,8 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op_sql() -> str:
     """DuckDB SQL."""
     return f"""
-with fine as (select vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as x from embeddings
+with fine as (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as x from embeddings
   where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-pairs as (select q.vec_id as query_id, r.vec_id, list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * r.x[i]))::bigint as score from fine q join fine r on q.vec_id <> r.vec_id where q.vec_id % {EVERY} = 0),
-ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from pairs)
+pairs as (select q.r, q.vec_id as query_id, r.vec_id, list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * r.x[i]))::bigint as score from fine q join fine r on q.vec_id <> r.vec_id where q.vec_id % {EVERY} = 0),
+ranked as (select *, row_number() over (partition by r order by score desc, vec_id)::int as rank from pairs)
 select query_id, rank, vec_id, score from ranked where rank <= {K}"""
