@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import materialize, partitions, read, slices
 
 ROLES = ("system", "user", "assistant")
 #: States: nothing yet, or the role of the last turn.
@@ -23,8 +24,8 @@ START, SYSTEM, USER, ASSISTANT = range(4)
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 #: Costs: merging, another role (UNKNOWN where the given one is none of ROLES), an empty turn.
 MERGE, RELABEL, UNKNOWN, INSERT = 2, 3, 1, 4
-#: Values of turn that make a segment.
-SEGMENT = 1024
+#: Turns of a segment, and bytes of their texts (or one turn), at most.
+SEGMENT, BYTES = 1024, 1 << 20
 FAR = 1 << 40
 
 
@@ -137,40 +138,68 @@ def render(roles: list[str | None], texts: list[str | None], first: int, last: i
 def format_chats(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """turns (conv_id, turn long, role, text, ...): (conv_id, turn, role, new_role, action, inserted, rendered), one row for each row of turns.
 
-    The parts of a conversation joined in the order of turn (nulls last), then role and text, are the rendered conversation. Defined cases: a null
-    or unknown role takes any role at a low cost; a null text is empty; rows with the same turn go by role, then text, nulls first; null conv_ids
-    are one conversation; markers in texts are broken up ("<|" to "< |"); other columns are not read. A
-    segment's turns meet in one task: SEGMENT values of turn, and their repeats.
+    The parts of a conversation joined in the order of turn (nulls last), role (nulls first), then xxhash64 of the text, are the rendered
+    conversation. Rows are sorted by range, so that a conversation of any length, and turns that repeat, go over many tasks, and cut there into segments.
+    Only the segments' matrices of a conversation meet, 128 bytes for SEGMENT turns. Defined cases: a null
+    or unknown role takes any role at a low cost; a null text is empty; null conv_ids
+    are one conversation; markers in texts are broken up ("<|" to "< |"); other columns are not read.
     """
-    key = [F.col("conv_id"), F.coalesce(F.floor(F.col("turn") / segment), F.lit(1 << 60)).alias("seg")]
-    item = F.struct(F.col("turn").isNull().alias("o"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    grouped = materialize(turns.groupBy(*key).agg(F.sort_array(F.collect_list(item)).alias("items")), "segments")
+    spark = turns.sparkSession
     kind = turns.schema["conv_id"].dataType.simpleString()
-
-    def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.record_batch({"conv_id": b["conv_id"], "seg": b["seg"], "m": pa.array([segment_costs(x) for x in b["roles"].to_pylist()], pa.list_(pa.int64()))})
+    d = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    by = ["conv_id", F.col("turn").isNull(), "turn", "role", F.xxhash64("text"), "_row"]
+    ordered = d.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by).drop("_row")
+    item = pa.list_(pa.struct([("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, n = TaskContext.get().partitionId() << 32, 0
+        conv, own, size = None, [], 0
+        ready: list[tuple] = []
+
+        def flush(conv_type: pa.DataType) -> pa.RecordBatch:
+            cols = list(zip(*ready, strict=True))
+            ready.clear()
+            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (conv_type, pa.int64(), item, pa.list_(pa.int64())), strict=True)], names=["conv_id", "seg", "items", "m"])
+
+        held, conv_type = 0, None
+        for b in slices(batches):
+            conv_type = b["conv_id"].type
+            for c, turn, role, text in zip(*(b[x].to_pylist() for x in ("conv_id", "turn", "role", "text")), strict=True):
+                if own and (c != conv or len(own) >= segment or size >= BYTES):
+                    ready.append((conv, at + n, own, segment_costs([x["role"] for x in own])))
+                    held, n, own, size = held + size, n + 1, [], 0
+                    if held >= BYTES or len(ready) >= 4096:
+                        yield flush(conv_type)
+                        held = 0
+                conv = c
+                own.append({"turn": turn, "role": role, "text": text})
+                size += len(text or "")
+        if own:
+            ready.append((conv, at + n, own, segment_costs([x["role"] for x in own])))
+        if ready:
+            yield flush(conv_type)
+
+    grouped = materialize(ordered.mapInArrow(cut, f"conv_id {kind}, seg long, items array<struct<turn:long,role:string,text:string>>, m array<long>"), "segments")
 
     def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, x["seg"], *s, x is all_[-1]) for i, all_ in zip(b["conv_id"].to_pylist(), b["all"].to_pylist(), strict=True) for x, s in zip(all_, borders([y["m"] for y in all_]), strict=True)]
-            cols = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (b["conv_id"].type, pa.int64(), pa.int32(), pa.int32(), pa.bool_()), strict=True)], names=["conv_id", "seg", "first", "last", "ends"])
+            rows = [(x["seg"], *s, x is all_[-1]) for all_ in b["all"].to_pylist() for x, s in zip(all_, borders([y["m"] for y in all_]), strict=True)]
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.bool_()), strict=True)], names=["seg", "first", "last", "ends"])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "turn", "role", "new_role", "action", "inserted", "rendered"]
         for whole in batches:
-            for k in range(0, whole.num_rows, 64):
-                b, rows = whole.slice(k, 64), []
+            for k in range(0, whole.num_rows, 16):
+                b, rows = whole.slice(k, 16), []
                 for i, items, first, last, ends in zip(*(b[c].to_pylist() for c in ("conv_id", "items", "first", "last", "ends")), strict=True):
                     done = render([x["role"] for x in items], [x["text"] for x in items], first, last, ends)
                     rows += [(i, x["turn"], x["role"], *d) for x, d in zip(items, done, strict=True)]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (b["conv_id"].type, pa.int64(), *[pa.string()] * 5), strict=True)], names=names)
 
-    m = grouped.select("conv_id", "seg", F.transform("items", lambda x: x["role"]).alias("roles")).mapInArrow(costs, f"conv_id {kind}, seg long, m array<long>")
-    per = m.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("seg", "m"))).alias("all"))
-    ways = materialize(per.mapInArrow(states, f"conv_id {kind}, seg long, first int, last int, ends boolean"), "ways")
-    j = grouped.join(ways, grouped["conv_id"].eqNullSafe(ways["conv_id"]) & (grouped["seg"] == ways["seg"])).select(grouped["conv_id"], "items", "first", "last", "ends")
+    per = grouped.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("seg", "m"))).alias("all"))
+    ways = materialize(per.mapInArrow(states, "seg long, first int, last int, ends boolean"), "ways")
+    j = grouped.select("conv_id", "seg", "items").join(ways, "seg").select("conv_id", "items", "first", "last", "ends")
     return j.mapInArrow(decode, f"conv_id {kind}, turn long, role string, new_role string, action string, inserted string, rendered string")
 
 
