@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .compat import DATA, col, get, kind, string_of, without
+from .compat import DATA, col, get, kind, string_of
 
 #: Names tried for an event's time, in this order; formats that mean seconds since 1970.
 FIELDS = ("time", "Time", "timestamp", "Timestamp", "TimeStamp", "date", "Date", "datetime", "Datetime", "DateTime", "msec")
@@ -28,10 +28,14 @@ LAYOUT = (
     ("01", "MM"), ("02", "dd"), ("03", "h"), ("04", "m"), ("05", "<seconds>"), ("06", "yy"), ("15", "H"), ("_2", "d"), ("PM", "a"), ("pm", "a"), ("1", "M"), ("2", "d"), ("3", "h"), ("4", "m"), ("5", "<seconds>"),
 )
 WEEKDAY = r"(?i)\b(?:mon|tue|wed|thu|fri|sat|sun)(?:day|sday|nesday|rsday|urday)?\b,?"
-#: Tried after the event's own format.
+#: Formats tried after the event's own.
 CASCADE = ("2006-01-02 15:04:05.999999999 -0700 MST", "2006-01-02T15:04:05.999999999Z07:00", "Mon Jan 02 15:04:05 -0700 2006", "Mon Jan _2 15:04:05 MST 2006")
 
 
+#: How texts begin that a format of CASCADE can read: a parser that fails costs far more than the look.
+SHAPES = dict(zip(CASCADE, (r"^[0-9]{4}-[0-9]{2}-[0-9]{2} ", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt]", r"^\s*[A-Za-z]{3},? [A-Za-z]{3} [0-9]{1,2} [0-9:., ]+[+-]", r"^\s*[A-Za-z]{3},? [A-Za-z]{3} +[0-9]{1,2} [0-9:., ]+[A-Z]"), strict=True))
+
+
 def compile_format(fmt: str) -> tuple[str, bool]:
     """(Java pattern, whether weekdays are to be cut from the text first) of a strftime or example-style format.
 
@@ -97,30 +101,40 @@ def parse(text: Column | str, fmt: str, zone: str = "UTC") -> Column:
 def try_formats(text: Column, fmt: str | None, zone: str = "UTC") -> Column:
     """The given format, then well-known ones, then digits as seconds since 1970."""
     clean = F.regexp_replace(text, ",", ".")
-    tries = ([parse(text, fmt, zone)] if fmt else []) + [parse(text, f, zone) for f in CASCADE]
-    return F.coalesce(*tries, epoch(clean))
+    known = [F.when(text.rlike(SHAPES[f]), parse(text, f, zone)) for f in CASCADE]
+    return F.coalesce(*([parse(text, fmt, zone)] if fmt else []), *known, F.when(clean.rlike(r"^[0-9][0-9.]*\z"), epoch(clean)))
 
 
 def moment(now: datetime | Column | None) -> Column:
     return F.current_timestamp() if now is None else now if isinstance(now, Column) else F.lit(now).cast("timestamp")
 
 
-def resolve(data: Column | str, field: str | None = None, fmt: str | None = None, zone: str = "UTC", now: datetime | Column | None = None) -> tuple[Column, Column]:
-    """(timestamp, data without the time field).
+def found(data: Column | str, field: str | None = None, fmt: str | None = None, zone: str = "UTC") -> Column:
+    """struct<k, t>: the time field to remove and its time, null where it has none; itself null where nothing is found.
 
-    A named field is used, and removed whatever it holds; strings, doubles (and digits) parse, other types and absence mean now.
-    Otherwise the well-known names are tried in order, strings only, and the one that parses is removed.
+    A named field is used, and removed whatever it holds; strings, doubles (and digits) parse, other types don't.
+    Otherwise the well-known names are tried in order, strings only, and the first that parses is taken. Only strings that are there are looked at.
     """
-    data, instant = col(data), moment(now)
+    data = col(data)
     if field:
         v = get(data, field)
         d = F.when(kind(v).rlike("^(DOUBLE|DECIMAL|FLOAT|BIGINT|INT)"), F.try_variant_get(v, "$", "decimal(28,9)"))
         number = F.timestamp_micros(F.floor(d * 1_000_000).cast("long"))
         long_digits = F.when(kind(v).rlike("^(BIGINT|INT)"), epoch(F.try_variant_get(v, "$", "string")))
-        return F.coalesce(try_formats(string_of(v), fmt, zone), long_digits, number, instant), without(data, field)
-    tried = F.array(*(F.struct(F.lit(k).alias("k"), try_formats(string_of(get(data, k)), fmt, zone).alias("t")) for k in FIELDS))
-    hit = F.try_element_at(F.filter(tried, lambda x: x["t"].isNotNull()), F.lit(1))
-    return F.coalesce(hit["t"], instant), F.map_filter(data, lambda k, _: F.coalesce(k != hit["k"], F.lit(True))).cast(DATA)
+        return F.struct(F.lit(field).alias("k"), F.coalesce(try_formats(string_of(v), fmt, zone), long_digits, number).alias("t"))
+    names = F.array(*map(F.lit, FIELDS))
+    there = F.filter(F.map_entries(data), lambda x: x["key"].isin(*FIELDS))
+    texts = F.transform(there, lambda x: F.struct(F.array_position(names, x["key"]).alias("o"), x["key"].alias("k"), string_of(x["value"]).alias("s")))
+    tried = F.transform(F.array_sort(F.filter(texts, lambda x: x["s"].isNotNull())), lambda x: F.struct(x["k"].alias("k"), try_formats(x["s"], fmt, zone).alias("t")))
+    return F.try_element_at(F.filter(tried, lambda x: x["t"].isNotNull()), F.lit(1))
+
+
+def resolve(df: DataFrame, field: str | None = None, fmt: str | None = None, zone: str = "UTC", now: datetime | Column | None = None, ts: str = "timestamp") -> DataFrame:
+    """df (data, ...) with ``ts``, the time that found() finds or now, and data without its field."""
+    # the struct is a column of its own, so that it is made once for each row, not once for each key of data
+    hit = df.withColumn("_hit", found("data", field, fmt, zone))
+    rest = F.map_filter("data", lambda k, _: F.coalesce(k != F.col("_hit.k"), F.lit(True))).cast(DATA)
+    return hit.withColumns({ts: F.coalesce(F.col("_hit.t"), moment(now)), "data": F.when(F.col("_hit.k").isNull(), F.col("data")).otherwise(rest)}).drop("_hit")
 
 
 def rebase(ts: Column | str, base: Column, start: Column) -> Column:

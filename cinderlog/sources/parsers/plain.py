@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import times
-from ...functions.compat import DATA, doubles, get, kind, merge, no_data, record, string_of, trim_space, typed, variant, without
+from ...functions.compat import DATA, doubles, get, kind, merge, no_data, record, string_of, trim_space, typed, variant
 from ...functions.regexes import group, matched, translate
 from ...operators.filters import allow_processes, any_value, line_filter, strip_prefix
 
@@ -22,8 +22,7 @@ def finish(df: DataFrame, ts: Column, data: Column) -> DataFrame:
 
 
 def timed(df: DataFrame, field: str | None, fmt: str | None, zone: str, now: datetime | None) -> DataFrame:
-    ts, data = times.resolve("data", field, fmt, zone, now)
-    return finish(df.withColumn("_ts", ts), F.col("_ts"), data)
+    return finish(times.resolve(df, field, fmt, zone, now, "_ts"), F.col("_ts"), F.col("data"))
 
 
 def json_object(line: Column) -> Column:
@@ -37,8 +36,8 @@ def parse_json(lines: DataFrame, *, prefix: str | None = None, timefield: str |
     """One object a line. Time comes from the object; prefix fields are merged after it, and win."""
     df = strip_prefix(lines.withColumn("line", trim_space("line")), prefix)
     df = df.withColumn("data", json_object(F.col("line"))).where("data is not null")
-    ts, data = times.resolve("data", timefield, fmt, zone, now)
-    return finish(df.withColumn("_ts", ts).withColumn("_d", data), F.col("_ts"), merge(F.col("_d"), F.col("prefix")))
+    df = times.resolve(df, timefield, fmt, zone, now, "_ts")
+    return finish(df, F.col("_ts"), merge(F.col("data"), F.col("prefix")) if prefix else F.col("data"))
 
 
 _PAIR = r'([^\s="\x00-\x20]+)(?:=("(?:[^"\\]|\\.)*+"|[^\s"]*))?'
@@ -139,17 +138,16 @@ def parse_nginx(lines: DataFrame, *, log_format: str, prefix: str | None = None,
         return finish(df, times.moment(now), F.col("data"))
     local, iso, msec = (get("data", k) for k in ("time_local", "time_iso8601", "msec"))
     msec_text = F.when(kind(msec).rlike("^(DOUBLE|DECIMAL|STRING)"), F.when(kind(msec) == "STRING", string_of(msec)).otherwise(F.format_string("%.3f", F.try_variant_get(msec, "$", "double"))))
-    auto, rest = times.resolve("data", None, None, zone, now)
     has = [F.map_contains_key("data", F.lit(k)) for k in ("time_local", "time_iso8601", "msec")]
-    instant = times.moment(now)
-    ts = (
-        F.when(has[0], F.coalesce(times.try_formats(string_of(local), "02/Jan/2006:15:04:05 -0700", zone), instant))
-        .when(has[1], F.coalesce(times.try_formats(string_of(iso), "2006-01-02T15:04:05Z07:00", zone), instant))
-        .when(has[2], F.coalesce(times.epoch(msec_text), instant))
-        .otherwise(auto)
+    own = has[0] | has[1] | has[2]
+    tried = (
+        F.when(has[0], F.struct(F.lit("time_local").alias("k"), times.try_formats(string_of(local), "02/Jan/2006:15:04:05 -0700", zone).alias("t")))
+        .when(has[1], F.struct(F.lit("time_iso8601").alias("k"), times.try_formats(string_of(iso), "2006-01-02T15:04:05Z07:00", zone).alias("t")))
+        .when(has[2], F.struct(F.lit("msec").alias("k"), times.epoch(msec_text).alias("t")))
     )
-    data = F.when(has[0], without("data", "time_local")).when(has[1], without("data", "time_iso8601")).when(has[2], without("data", "msec")).otherwise(rest)
-    return finish(df.withColumn("_ts", ts), F.col("_ts"), data)
+    df = df.withColumn("_hit", F.when(own, tried).otherwise(times.found(F.when(~own, F.col("data")), None, None, zone)))
+    rest = F.map_filter("data", lambda k, _: F.coalesce(k != F.col("_hit.k"), F.lit(True)))
+    return finish(df.withColumn("_ts", F.coalesce(F.col("_hit.t"), times.moment(now))), F.col("_ts"), rest)
 
 
 _RFC3164 = r"^<([0-9]{1,3})>([A-Z][a-z]{2} [ 0-9][0-9] [0-9:]{8}) (\S+) (?:([^\s\[:]+)(?:\[[^\]]*\])?: ?)?([\s\S]*)\z"
