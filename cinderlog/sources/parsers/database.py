@@ -11,11 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import times
-from ...functions.compat import doubles, merge, record, to_double, to_long, trim_space, variant
-from ...functions.regexes import group, translate
-from ...functions.sqltext import normalize, normalize_column
+from ...functions.compat import doubles, get, merge, record, to_double, to_long, trim_space, variant
+from ...functions.sqltext import normalize_column
 from ...operators.filters import strip_prefix
-from ...operators.grouping import carry_forward, slow_log_groups, tab_groups
+from ...operators.grouping import carry_forward, is_server_line, slow_log_groups, tab_groups
 from ...operators.sampling import random_sample
 from .mongo import parse_line
 from .plain import finish
@@ -45,7 +44,7 @@ def parse_arangodb(lines: DataFrame, *, prefix: str | None = None, zone: str = "
 
 # --- PostgreSQL
 
-#: The default log_line_prefix, its specifiers (field, pattern), the header of a slow query and trace comments.
+#: The default log_line_prefix and its specifiers (field, pattern).
 PREFIX = "%t [%p-%l] %u@%d"
 _TIME = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}[.0-9]* [A-Z]+"
 SPECIFIERS = {
@@ -53,12 +52,38 @@ SPECIFIERS = {
     "%t": ("timestamp", _TIME), "%m": ("timestamp_millis", _TIME), "%n": ("timestamp_unix", r"\d+"), "%i": ("command_tag", r"\S+"), "%e": ("sql_state", r"\S+"), "%c": ("session_id", r"\d+"),
     "%l": ("session_line_number", r"\d+"), "%s": ("session_start", _TIME), "%v": ("virtual_transaction_id", r"\S+"), "%x": ("transaction_id", r"\S+"),
 }
-HEADER = r"\s*([A-Z0-9]+):\s+duration: ([0-9\.]+) ms\s+(?:(statement)|(execute \S+)): "
-TRACES = (
-    r"""/\*.*trace_id=['"](?P<trace_id>[^'"]+)['"].*parent_id=['"](?P<parent_id>[^'"]+)['"].*\*/""",
-    r"""/\*.*parent_id=['"](?P<parent_id>[^'"]+)['"].*trace_id=['"](?P<trace_id>[^'"]+)['"].*\*/""",
-    r"""/\*.*traceparent=['"]\d{2}-(?P<trace_id>[^-]+)-(?P<parent_id>[^-]+)-\d{2}['"].*\*/""",
-)
+
+
+def slow_statement(rest: Column) -> dict[str, Column]:
+    """What follows a line's prefix, cut at its first three colons: a level, the word duration, a time in ms with what was run, and the text.
+
+    ``ok`` says whether these are what a slow query has: "LEVEL:  duration: N ms  statement: ..." or "... execute NAME: ...".
+    """
+    part = F.split(rest, ":", 4)
+    at = lambda i: F.trim(F.coalesce(F.try_element_at(part, F.lit(i + 1)), F.lit("")))
+    said = F.split(at(2), r"\s+")
+    word = lambda i: F.coalesce(F.try_element_at(said, F.lit(i + 1)), F.lit(""))
+    verb = (word(2) == "statement") & (F.size(said) == 3) | (word(2) == "execute") & (F.size(said) == 4)
+    ok = (F.size(part) == 4) & at(0).rlike("^[A-Z][A-Z0-9]*$") & (at(1) == "duration") & word(0).rlike(r"^[0-9][0-9.]*$") & (word(1) == "ms") & verb
+    return {"ok": F.coalesce(ok, F.lit(False)), "duration": word(0), "text": F.regexp_replace(F.try_element_at(part, F.lit(4)), "^ ", "")}
+
+
+def comment_pairs(query: Column) -> Column:
+    """Pairs key='value' (or "value") inside a query's comments, as a map; later ones win."""
+    inside = F.array_join(F.regexp_extract_all(query, F.lit(r"(?s)/\*(.*?)\*/"), F.lit(1)), " ")
+    pairs = F.regexp_extract_all(inside, F.lit(r"""[A-Za-z_]\w*=(?:'[^']+'|"[^"]+")"""), F.lit(0))
+    return F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.substring_index(x, "=", 1).alias("key"), F.regexp_extract(x, r"=.(.*).$", 1).alias("value"))))
+
+
+def trace_ids(query: Column) -> dict[str, Column]:
+    """trace.trace_id and trace.parent_id of a query: both of the pairs of these names, else the middle parts of a traceparent (version-trace-parent-flags)."""
+    pairs = comment_pairs(query)
+    named = {k: get(pairs, k) for k in ("trace_id", "parent_id")}
+    parts = F.split(get(pairs, "traceparent"), "-")
+    edge = lambda i: F.try_element_at(parts, F.lit(i)).rlike("^[0-9]{2}$")
+    whole = (F.size(parts) == 4) & edge(1) & edge(4)
+    both = named["trace_id"].isNotNull() & named["parent_id"].isNotNull()
+    return {f"trace.{k}": F.when(both, c).when(whole, F.try_element_at(parts, F.lit(2 + i))) for i, (k, c) in enumerate(named.items())}
 
 
 def compile_line_prefix(fmt: str) -> tuple[str, list[str]]:
@@ -78,109 +103,81 @@ def parse_postgresql(lines: DataFrame, *, log_line_prefix: str = PREFIX, sampler
     """Slow queries; tabs continue a statement. Times are UTC, null if the prefix has none. Sampling takes whole groups, not lines."""
     prefix, names = compile_line_prefix(log_line_prefix or PREFIX)
     groups = random_sample(tab_groups(lines), samplerate, seed)
-    regex = prefix + HEADER
     first = F.col("lines")[0]
-    df = groups.where(first.rlike(regex))
-    g = {n: F.regexp_extract(first, regex, i) for i, n in enumerate([*names, "level", "duration"], 1)}
-    rest = F.regexp_replace(first, regex, "")
+    slow = slow_statement(F.regexp_replace(first, prefix, ""))
+    df = groups.where(first.rlike(prefix) & slow["ok"])
+    g = {n: F.regexp_extract(first, prefix, i) for i, n in enumerate(names, 1)}
     tail = F.transform(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), lambda x: F.regexp_replace(x, r"^[ \t]+", ""))
-    df = df.withColumn("query", F.regexp_replace(F.concat_ws(" ", F.concat(F.array(rest), tail)), r"[\s]+\z", "")).withColumn("_n", normalize_column(F.col("query")))
-    trace: dict[str, Column] = {}
-    for which in ("trace_id", "parent_id"):
-        found = [F.when(F.col("query").rlike(p.java), group(F.col("query"), p, p.named()[which])) for p in map(translate, TRACES)]
-        trace[f"trace.{which}"] = F.coalesce(*found)
+    df = df.withColumn("query", F.regexp_replace(F.concat_ws(" ", F.concat(F.array(slow["text"]), tail)), r"[\s]+\z", "")).withColumn("_n", normalize_column(F.col("query")))
     numbers = ("pid", "session_id", "session_line_number")
     timestamps = [F.try_to_timestamp(F.regexp_replace(g[n], r" [A-Z]+$", "")) for n in ("timestamp", "timestamp_millis") if n in g]
     if "timestamp_unix" in g:
         timestamps.append(F.timestamp_millis(to_long(g["timestamp_unix"])))
     ts = F.coalesce(*timestamps) if timestamps else F.lit(None).cast("timestamp")
-    duration = variant(to_double(g["duration"]))
-    fields = {n: F.coalesce(variant(to_long(c)), variant(c)) if n in numbers else variant(c) for n, c in g.items() if n not in ("level", "duration", "timestamp", "timestamp_millis", "timestamp_unix")}
+    duration = variant(to_double(slow["duration"]))
+    fields = {n: F.coalesce(variant(to_long(c)), variant(c)) if n in numbers else variant(c) for n, c in g.items() if n not in ("timestamp", "timestamp_millis", "timestamp_unix")}
     fields |= {"duration": duration, "duration_ms": duration, "query": variant("query"), "normalized_query": variant(F.col("_n.query")), "tables": variant(F.col("_n.tables")), "comments": variant(F.col("_n.comments"))}
-    return finish(df.withColumn("_ts", ts), F.col("_ts"), record(fields | {k: variant(c) for k, c in trace.items()}))
+    return finish(df.withColumn("_ts", ts), F.col("_ts"), record(fields | {k: variant(c) for k, c in trace_ids(F.col("query")).items()}))
 
 
 # --- MySQL
 
-#: Classes of a slow log's comment lines and the fields they hold, in the order of trial.
-CLASSES = (
-    ("time", r"^# Time: (?P<iso>[^ ]+)Z *$", False),
-    ("old_time", r"^# Time: (?P<old>[0-9]+ +[0-9:.]+)", False),
-    ("ping", r"^# administrator command: Ping; *$", False),
-    ("user", r"^# User@Host: (?P<user>[^#]+) @ (?P<client>[^#]+?)( Id:.+)?$", True),
-    ("stats", r"^# Query_time: (?P<query_time>[0-9.]+) *Lock_time: (?P<lock_time>[0-9.]+) *Rows_sent: (?P<rows_sent>[0-9]+) *Rows_examined: (?P<rows_examined>[0-9]+)( *Rows_affected: (?P<rows_affected>[0-9]+))?.*$", True),
-    ("stats", r"^# Query_time: (?P<query_time>[0-9.]+).*$", True),
-    ("stats", r"^# Bytes_sent: (?P<bytes_sent>[0-9.]+) *Tmp_tables: (?P<tmp_tables>[0-9.]+) *Tmp_disk_tables: (?P<tmp_disk_tables>[0-9]+) *Tmp_table_sizes: (?P<tmp_table_sizes>[0-9]+).*$", True),
-    ("stats", r"^# QC_Hit: (?P<query_cache_hit>[A-Za-z]+)  Full_scan: (?P<full_scan>[A-Za-z]+)  Full_join: (?P<full_join>[A-Za-z]+)  Tmp_table: (?P<tmp_table>[A-Za-z]+)  Tmp_table_on_disk: (?P<tmp_table_on_disk>[A-Za-z]+).*$", False),
-    ("stats", r"^# Filesort: (?P<filesort>[A-Za-z]+)  Filesort_on_disk: (?P<filesort_on_disk>[A-Za-z]+)  Merge_passes: (?P<merge_passes>[0-9]+).*$", False),
-    ("stats", r"^# +InnoDB_IO_r_ops: (?P<IO_r_ops>[0-9]+)  InnoDB_IO_r_bytes: (?P<IO_r_bytes>[0-9]+)  InnoDB_IO_r_wait: (?P<IO_r_wait_sec>[0-9.]+).*$", False),
-    ("stats", r"^# +InnoDB_rec_lock_wait: (?P<rec_lock_wait_sec>[0-9.]+)  InnoDB_queue_wait: (?P<queue_wait_sec>[0-9.]+).*$", False),
-    ("stats", r"^# +InnoDB_pages_distinct: (?P<pages_distinct>[0-9]+).*", False),
-    ("stats", r"^# InnoDB_trx_id: (?P<transaction_id>[A-F0-9]+) *$", False),
-    ("use", r"^(?i:use) (?P<database>.*)$", True),
-    ("set_time", r"^SET timestamp=(?P<unix>[0-9]+);$", True),
-    ("server", r"/.*, Version: .* .*MySQL Community Server.*|Tcp port:.* Unix socket:.*|Time.*Id.*Command.*Argument.*", False),
-)
-_COMPILED = [(what, re.compile(p), resets) for what, p, resets in CLASSES]
-DOUBLES = ("query_time", "lock_time", "IO_r_wait_sec", "rec_lock_wait_sec", "queue_wait_sec")
-LONGS = ("rows_sent", "rows_examined", "rows_affected", "bytes_sent", "tmp_tables", "tmp_disk_tables", "tmp_table_sizes", "merge_passes", "IO_r_ops", "IO_r_bytes", "pages_distinct")
-BOOLS = ("query_cache_hit", "full_scan", "full_join", "tmp_table", "tmp_table_on_disk", "filesort", "filesort_on_disk")
+#: Names in a slow log's comments ("# Name: value  Name: value") and the fields they give, by type.
+DOUBLES = {"Query_time": "query_time", "Lock_time": "lock_time", "InnoDB_IO_r_wait": "IO_r_wait_sec", "InnoDB_rec_lock_wait": "rec_lock_wait_sec", "InnoDB_queue_wait": "queue_wait_sec"}
+LONGS = {
+    "Rows_sent": "rows_sent", "Rows_examined": "rows_examined", "Rows_affected": "rows_affected", "Bytes_sent": "bytes_sent", "Tmp_tables": "tmp_tables", "Tmp_disk_tables": "tmp_disk_tables",
+    "Tmp_table_sizes": "tmp_table_sizes", "Merge_passes": "merge_passes", "InnoDB_IO_r_ops": "IO_r_ops", "InnoDB_IO_r_bytes": "IO_r_bytes", "InnoDB_pages_distinct": "pages_distinct",
+}
+BOOLS = {"QC_Hit": "query_cache_hit", "Full_scan": "full_scan", "Full_join": "full_join", "Tmp_table": "tmp_table", "Tmp_table_on_disk": "tmp_table_on_disk", "Filesort": "filesort", "Filesort_on_disk": "filesort_on_disk"}
+TEXTS = {"InnoDB_trx_id": "transaction_id"}
 STRINGS = ("user", "client", "database", "query", "normalized_query", "statement", "tables", "comments", "transaction_id")
-_MYSQL = "struct<" + ",".join([*(f"{n}:double" for n in DOUBLES), *(f"{n}:bigint" for n in LONGS), *(f"{n}:boolean" for n in BOOLS), *(f"{n}:string" for n in STRINGS), "iso:string", "old:string", "unix:bigint"]) + ">"
-
-
-def fold_slow_log(lines: list[str]) -> dict[str, object] | None:
-    """A group's fields, with the raw times iso, old and unix; None for a ping. The last query that ends in ; counts."""
-    out: dict[str, object] = {}
-    pending = ""
-    for line in lines:
-        for what, p, resets in _COMPILED:
-            m = p.search(line) if what == "server" else p.match(line)
-            if not m:
-                continue
-            if resets:
-                pending = ""
-            got = {k: v for k, v in m.groupdict().items() if v is not None}
-            if what == "ping":
-                return None
-            if what == "user":
-                out |= {"user": got["user"].split("[")[0], "client": got["client"].strip()}
-            elif what == "use":
-                out["database"] = got["database"].rstrip("; ")
-                out |= {"query": line.rstrip("; "), "normalized_query": line.rstrip("; ")}
-                for k in ("tables", "comments", "statement"):
-                    out.pop(k, None)
-            elif what in ("stats", "time", "old_time", "set_time"):
-                for k, v in got.items():
-                    try:
-                        out[k] = v == "Yes" if k in BOOLS else float(v) if k in DOUBLES else int(float(v)) if k in LONGS or k == "unix" else v
-                    except ValueError:
-                        pass
-            break
-        else:
-            if line.startswith("# "):
-                continue
-            pending = f"{pending} {line}".strip() if pending else line.strip()
-            if pending.endswith(";"):
-                q = pending.rstrip(";").rstrip()
-                n = normalize(q)
-                out |= {"query": q, "normalized_query": n.query, "statement": n.statement}
-                for k, v in (("tables", n.tables), ("comments", n.comments)):
-                    out.pop(k, None)
-                    if v:
-                        out[k] = v
-                pending = ""
-    return out
+#: Comments that begin with these drop a statement that has not ended.
+BREAKS = ("User@Host:", "Query_time:", "Bytes_sent:")
+_STATE = "struct<pending:string,query:string,used:boolean>"
 
 
-def mysql_fields(groups: DataFrame) -> DataFrame:
-    """Adds ``f``: a struct of each group's fields, null for pings."""
+def last_statement(lines: Column) -> Column:
+    """struct<pending, query, used>: the last statement of a group that ends in a semicolon, or its last USE (used), without the semicolon."""
+
+    def step(state: Column, line: Column) -> Column:
+        joined = F.trim(F.concat_ws(" ", F.nullif(state["pending"], F.lit("")), line))
+        ended = joined.endswith(";")
+        bare = F.regexp_replace(joined, r"[;]+$", "")
+        to = lambda pending, query, used: F.struct(pending.alias("pending"), query.alias("query"), used.alias("used")).cast(_STATE)
+        none = F.lit("")
+        return (
+            F.when(line.startswith("# "), F.when(line.rlike(f"^# (?:{'|'.join(BREAKS)})"), to(none, state["query"], state["used"])).otherwise(state))
+            .when(F.lower(F.substring(line, 1, 4)) == "use ", to(none, F.regexp_replace(line, r"[; ]+$", ""), F.lit(True)))
+            .when(line.rlike("^SET timestamp=[0-9]+;$"), to(none, state["query"], state["used"]))
+            .when(is_server_line(line), state)
+            .when(ended, to(none, F.rtrim(bare), F.lit(False)))
+            .otherwise(to(joined, state["query"], state["used"]))
+        )
 
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if (f := fold_slow_log(list(x))) is None else json.dumps(f))
+    start = F.struct(F.lit("").alias("pending"), F.lit(None).cast("string").alias("query"), F.lit(False).alias("used")).cast(_STATE)
+    return F.aggregate(lines, start, step)
 
-    return groups.withColumn("f", F.from_json(run("lines"), _MYSQL))
+
+def mysql_fields(groups: DataFrame) -> DataFrame:
+    """groups (lines, ...) without those that only ping, and ``f``: a struct of each group's fields, with the raw times iso, old and unix."""
+    df = groups.withColumn("_c", F.concat_ws("\n", F.filter("lines", lambda x: x.startswith("# ")))).where(~F.col("_c").rlike("(?m)^# administrator command: Ping; *$"))
+    said = F.regexp_extract_all("_c", F.lit(r"(\w+): *([^\s#]+)"), F.lit(0))
+    pairs = F.map_from_entries(F.transform(said, lambda x: F.struct(F.substring_index(x, ":", 1).alias("key"), F.regexp_extract(x, ": *(.*)$", 1).alias("value"))))
+    df = df.withColumn("_m", pairs).withColumn("_s", last_statement(F.col("lines")))
+    query, used = F.nullif(F.col("_s.query"), F.lit("")), F.col("_s.used")
+    df = df.where(query.isNotNull()).withColumn("_n", normalize_column(F.when(~used, query)))
+    last = lambda c, p, i=1: F.try_element_at(F.regexp_extract_all(c, F.lit(p), F.lit(i)), F.lit(-1))
+    other = F.concat_ws("\n", "lines")
+    who = last("_c", "(?m)^# User@Host: ([^#\\n]+ @ [^#\\n]+)$")
+    fields = {f: to_double(get("_m", k)) for k, f in DOUBLES.items()} | {f: F.coalesce(to_long(get("_m", k)), F.floor(to_double(get("_m", k)))) for k, f in LONGS.items()}
+    fields |= {f: get("_m", k) == "Yes" for k, f in BOOLS.items()} | {f: get("_m", k) for k, f in TEXTS.items()}
+    fields |= {
+        "user": F.regexp_extract(who, r"^([^\[@]*?)(?:\[[^@]*)? @ ", 1), "client": F.trim(F.regexp_replace(F.regexp_extract(who, "^[^@]* @ (.*)$", 1), r"\s+Id:.*$", "")),
+        "database": F.regexp_replace(last(other, "(?m)^[uU][sS][eE] (.*)$"), r"[; ]+$", ""), "query": query, "normalized_query": F.when(used, query).otherwise(F.col("_n.query")),
+        "statement": F.col("_n.statement"), "tables": F.col("_n.tables"), "comments": F.col("_n.comments"),
+        "iso": last("_c", "(?m)^# Time: ([^ \\n]+)Z *$"), "old": last("_c", "(?m)^# Time: ([0-9]+ +[0-9:.]+)"), "unix": to_long(last(other, "(?m)^SET timestamp=([0-9]+);$")),
+    }
+    return df.withColumn("f", F.struct(*(c.alias(k) for k, c in fields.items()))).drop("_c", "_m", "_s", "_n")
 
 
 def mysql_time(zone: str = "UTC", now: datetime | None = None) -> Column:
@@ -194,8 +191,8 @@ def mysql_time(zone: str = "UTC", now: datetime | None = None) -> Column:
 def parse_mysql(lines: DataFrame, *, samplerate: int = 1, host: DataFrame | None = None, zone: str = "UTC", now: datetime | None = None, seed: int | None = None) -> DataFrame:
     """Slow log. host: one row of hosted_on, role, read_only, replica_lag (see mysql_host), added to each event."""
     groups = random_sample(slow_log_groups(lines.withColumn("line", trim_space("line"))), samplerate, seed)
-    df = mysql_fields(groups).where("f is not null and f.query <> ''")
-    fields = {n: variant(F.col(f"f.{n}")) for n in (*DOUBLES, *LONGS, *BOOLS, *STRINGS)}
+    df = mysql_fields(groups)
+    fields = {n: variant(F.col(f"f.{n}")) for n in (*DOUBLES.values(), *LONGS.values(), *BOOLS.values(), *STRINGS)}
     if host is not None:
         names = [c for c in ("hosted_on", "role", "read_only", "replica_lag") if c in host.columns]
         df = df.crossJoin(F.broadcast(host.select(*(F.col(c).alias(f"_{c}") for c in names)).limit(1)))  # one row

@@ -35,8 +35,8 @@ def line_groups(df: DataFrame, kind: str, flush_ms: int = 10_000) -> DataFrame:
     """
     import re
 
-    server = re.compile("|".join(f"(?:{x})" for x in SERVER_LINES))
-    head = lambda x: x.startswith("# ") or bool(server.search(x))
+    server = re.compile("|".join(".*".join(map(re.escape, x.split("%"))) for x in SERVER_LINES), re.S)
+    head = lambda x: x.startswith("# ") or bool(server.match(x))
 
     def starts(before: str | None, line: str) -> bool:
         if kind == "tabs":
