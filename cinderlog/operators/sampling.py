@@ -8,9 +8,26 @@ from pyspark.sql import functions as F
 from ..functions.compat import get, kind, string_of
 
 
-def random_sample(df: DataFrame, rate: int, seed: int | None = None) -> DataFrame:
-    """Keeps about one row in ``rate``. Place it before parsing; seeds make reruns over the same partitions agree."""
-    return df if rate <= 1 else df.where((F.rand(seed) if seed is not None else F.rand()) < 1 / rate)
+#: Rows of a rate table that may be broadcast.
+RATES = 200_000
+
+
+def draw(seed: int | None, by: list[str]) -> Column:
+    """A number in [0, 1) for each row: with a seed by a hash of the columns ``by``, so that reruns agree however rows are dealt; else at random."""
+    if seed is None or not by:
+        return F.rand() if seed is None else F.rand(seed)
+    text = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def place_of(df: DataFrame) -> list[str]:
+    """Columns that tell where a row came from."""
+    return [c for c in ("source_file", "line_no") if c in df.columns]
+
+
+def random_sample(df: DataFrame, rate: int, seed: int | None = None, by: list[str] | None = None) -> DataFrame:
+    """Keeps about one row in ``rate``. Place it before parsing. With a seed the draw is a hash of ``by`` (by default source_file and line_no)."""
+    return df if rate <= 1 else df.where(draw(seed, by or place_of(df)) < 1 / rate)
 
 
 def keeps(key: Column, rate: int) -> Column:
@@ -23,7 +40,7 @@ def keeps(key: Column, rate: int) -> Column:
 def deterministic_sample(df: DataFrame, field: str, rate: int, seed: int | None = None) -> DataFrame:
     """Events whose key is kept weigh ``rate``, others -1; events without a string key are sampled at random."""
     key = string_of(get("data", field))
-    keep = F.when(key.isNotNull(), keeps(key, rate)).otherwise((F.rand(seed) if seed is not None else F.rand()) < 1 / rate)
+    keep = F.when(key.isNotNull(), keeps(key, rate)).otherwise(draw(seed, place_of(df)) < 1 / rate)
     return df.withColumn("sample_rate", F.when(keep, rate).otherwise(-1))
 
 
@@ -65,9 +82,13 @@ def dynamic_rates(counts: DataFrame, goal: int, seconds: int, minimum: float = 1
 
 
 def dynamic_sample(df: DataFrame, fields: list[str], goal: int, seconds: int = 30, minimum: float = 1.0, seed: int | None = None) -> DataFrame:
-    """Adaptive sampling by the key's rate from the window before (the goal for keys not seen there); kept events weigh the rate, others -1."""
+    """Adaptive sampling by the key's rate from the window before; keys not seen there, and all in the first window, have rate 1. Kept events weigh the rate, others -1.
+
+    Only rates above 1 are joined (a row for each key and window), by broadcast if they are few; otherwise by shuffle, and adaptive execution splits hot keys.
+    """
     base = df.withColumn("_key", key_of(fields)).withColumn("_w", F.floor(F.unix_micros(F.col("timestamp")) / (seconds * 1_000_000)))
-    rates = dynamic_rates(window_counts(base, F.col("_key"), seconds), goal, seconds, minimum).withColumnRenamed("w", "_w").withColumnRenamed("key", "_key")
+    rates = dynamic_rates(window_counts(base, F.col("_key"), seconds), goal, seconds, minimum).where("rate > 1").withColumnRenamed("w", "_w").withColumnRenamed("key", "_key")
+    rates = F.broadcast(rates) if rates.limit(RATES + 1).count() <= RATES else rates
     j = base.join(rates, ["_w", "_key"], "left").withColumn("rate", F.coalesce("rate", F.lit(1)))
-    draw = F.rand(seed) if seed is not None else F.rand()
-    return j.withColumn("sample_rate", F.when(draw < 1 / F.col("rate"), F.col("rate")).otherwise(-1)).drop("_w", "_key", "rate")
+    out = j.withColumn("sample_rate", F.when(draw(seed, place_of(df)) < 1 / F.col("rate"), F.col("rate")).otherwise(-1))
+    return out.select(*df.columns, *(["sample_rate"] if "sample_rate" not in df.columns else []))
