@@ -52,6 +52,9 @@ class Options:
     json_fields: list[str] = field(default_factory=list)
     rename_fields: list[str] = field(default_factory=list)
     # sending
+    api_host: str = ""
+    writekey: str = ""
+    debug_stdout: bool = False
     backoff: bool = False
     send_batch_size: int = 50
     status_interval: int = 60

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from .text import expand, prune, state_path
@@ -52,7 +52,44 @@ def whole_lines(path: str, start: int, end: int) -> int:
     return start
 
 
-class TailReader(DataSourceStreamReader):
+class Lines:
+    """Lines of spans, with the offset where each begins."""
+
+    def read(self, partition: Span | None):
+        if partition is None:  # nothing to read
+            return
+        with open(partition.path, "rb") as f:
+            f.seek(partition.start)
+            at = partition.start
+            while at < partition.end:
+                line = f.readline()
+                if not line:
+                    return
+                yield partition.path, at, line.decode("utf-8", "replace").rstrip("\r\n")
+                at += len(line)
+
+
+class TailBatch(Lines, DataSourceReader):
+    """What the files hold now, from where reading starts to their end, the last line too if nothing ends it; in spans of whole lines."""
+
+    def __init__(self, options: dict[str, str]):
+        self.reader = TailReader(options)
+
+    def partitions(self) -> list[InputPartition]:
+        out = []
+        for f, start in self.reader.initialOffset().items():
+            at, size = start["off"], os.stat(f).st_size
+            while at < size:
+                end, most = at, self.reader.most
+                while end == at and at + most < size:
+                    end, most = whole_lines(f, at, at + most), 2 * most
+                end = end if end > at else size
+                out.append(Span(f, at, end))
+                at = end
+        return out
+
+
+class TailReader(Lines, DataSourceStreamReader):
     """Offsets are JSON: {path: {"ino": inode, "off": bytes}}. Files must be visible to all executors."""
 
     def __init__(self, options: dict[str, str]):
@@ -84,7 +121,12 @@ class TailReader(DataSourceStreamReader):
             stat = os.stat(f)
             was = self.seen.get(f)
             off = was["off"] if was and was["ino"] == stat.st_ino and was["off"] <= stat.st_size else 0
-            out[f] = {"ino": stat.st_ino, "off": whole_lines(f, off, min(stat.st_size, off + self.most))}
+            most = self.most
+            end = whole_lines(f, off, min(stat.st_size, off + most))
+            while end == off and off + most < stat.st_size:  # a line longer than the window: look farther
+                most *= 2
+                end = whole_lines(f, off, min(stat.st_size, off + most))
+            out[f] = {"ino": stat.st_ino, "off": end}
         self.seen = self.seen | out
         return self.seen
 
@@ -97,17 +139,6 @@ class TailReader(DataSourceStreamReader):
                 out.append(Span(f, at, e["off"]))
         return out
 
-    def read(self, partition: Span):
-        with open(partition.path, "rb") as f:
-            f.seek(partition.start)
-            at = partition.start
-            while at < partition.end:
-                line = f.readline()
-                if not line:
-                    return
-                yield partition.path, at, line.decode("utf-8", "replace").rstrip("\r\n")
-                at += len(line)
-
     def commit(self, end: dict) -> None:
         """Saves offsets where other readers look for them, once the batch is done."""
         if not self.statefile:
@@ -120,7 +151,7 @@ class TailReader(DataSourceStreamReader):
 
 
 class TailSource(DataSource):
-    """spark.dataSource.register(TailSource); spark.readStream.format("tail").option("path", "/var/log/*.log")"""
+    """spark.dataSource.register(TailSource); spark.readStream.format("tail").option("path", "/var/log/*.log"), or spark.read for what is there now."""
 
     @classmethod
     def name(cls) -> str:
@@ -129,5 +160,8 @@ class TailSource(DataSource):
     def schema(self) -> str:
         return "source_file string, line_no long, line string"
 
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return TailBatch(dict(self.options))
+
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         return TailReader(dict(self.options))

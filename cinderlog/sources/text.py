@@ -87,13 +87,18 @@ def read_lines(spark: SparkSession, files: str | list[str]) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("source_file"), place.alias("line_no"), F.col("value").alias("line"))
 
 
-def read_ordered(spark: SparkSession, files: str | list[str]) -> DataFrame:
-    """(source_file, line_no, line) with line_no from 0 without gaps, for formats whose events span lines; a file is read by one task."""
-    df = spark.read.text([files] if isinstance(files, str) else files, wholetext=True)
-    lines = df.select(F.col("_metadata.file_path").alias("source_file"), F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n", -1)).alias("line_no", "line"))
+def numbered(files: DataFrame) -> DataFrame:
+    """files (source_file, value): (source_file, line_no, line) with line_no from 0 without gaps; a line end at the end of a file ends its last line."""
+    lines = files.select("source_file", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n", -1)).alias("line_no", "line"))
     return lines.withColumn("line_no", F.col("line_no").cast("long"))
 
 
+def read_ordered(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    """(source_file, line_no, line) for formats whose events span lines, or whose values carry on: the order in a file counts. Files split over tasks
+    as in read_lines; what follows puts a file's lines together where it must."""
+    return read_lines(spark, files)
+
+
 def from_lines(spark: SparkSession, lines: Iterable[str], source: str = "-") -> DataFrame:
     return spark.createDataFrame([(source, i, x.rstrip("\r\n")) for i, x in enumerate(lines)], LINES)
 
