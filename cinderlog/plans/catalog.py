@@ -13,9 +13,9 @@ from ..functions.compat import configure, get, record, string_of, text_of, varia
 from ..functions.sqltext import normalize_column, scan_column
 from ..operators import filters, grouping, sampling, stats, transforms
 from ..sources import parsers
-from ..sources.parsers.mongo import parse_document, shape
+from ..sources.parsers.mongo import shape_column
 from ..sources.sinks import as_json, outgoing
-from ..sources.text import from_lines
+from ..sources.text import numbered
 from .options import Options
 from .pipeline import build
 
@@ -71,9 +71,12 @@ def drop_unsampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transforms.drop_unsampled(sampling.deterministic_sample(_events(spark, sf_dir), "user", 3)).select(F.col("line_no").alias("event_id"), s("user").alias("user_key"))
 
 
-@query()
+_DRAW = "(('0x' || substr(md5({text}), 1, 8))::bigint)::double / 4294967296.0::double"
+
+
+@query(f"select l_orderkey, l_linenumber from lineitem where {_DRAW.format(text="l_orderkey || ':' || l_linenumber || ':7'")} < 0.1::double")
 def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.random_sample(table(spark, sf_dir, "lineitem"), 10, seed=7).select("l_orderkey", "l_linenumber")
+    return sampling.random_sample(table(spark, sf_dir, "lineitem"), 10, 7, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber")
 
 
 @query("select time_bucket(interval 30 seconds, ts)::timestamp as w_start, event_type as key, count(*) as n from events group by all")
@@ -95,7 +98,12 @@ def dynamic_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.dynamic_rates(sampling.window_counts(e, key, 3600), 4, 3600, 0.001)
 
 
-@query()
+@query(f"""
+with e as (select event_id, floor(epoch_us(ts) / 3600e6)::bigint as w, event_type as key from events),
+counts as (select w, key, count(*) as n from e group by all),
+totals as (select w, sum(n) as total, sum(round(log10(n::double), 9)) as logs from counts group by w),
+rates as (select w + 1 as w, key, (case when total / 3600.0::double < 0.001 or logs = 0 then 1 else greatest(1, ceil(n / greatest(1.0::double, ceil(log10(n::double) * (total / 4.0::double / logs))))) end)::int as rate from counts join totals using (w))
+select event_id, case when {_DRAW.format(text="'events:' || event_id || ':3'")} < 1 / coalesce(rate, 1)::double then coalesce(rate, 1) else -1 end::int as sample_rate from e left join rates using (w, key)""")
 def dynamic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.dynamic_sample(_events(spark, sf_dir), ["kind"], 4, 3600, 0.001, seed=3).select(F.col("line_no").alias("event_id"), "sample_rate")
 
@@ -241,13 +249,13 @@ def last_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 select floor(epoch(o_orderdate) / 86400 / 30)::bigint as w, count(*) as count, min(case when o_custkey > 0 then o_custkey end) as min_ns, max(o_custkey) as max_ns, floor(sum(o_custkey) / count(*))::bigint as avg_ns,
-  (count(*) filter (where o_orderstatus = 'F')) as finished, sum(count(*)) over (order by floor(epoch(o_orderdate) / 86400 / 30)::bigint)::bigint as lifetime_count from orders group by floor(epoch(o_orderdate) / 86400 / 30)::bigint""")
+  (count(*) filter (where o_orderstatus = 'F')) as finished, sum(count(*)) over (order by floor(epoch(o_orderdate) / 86400 / 30)::bigint)::bigint as lifetime_count, arg_max(o_orderkey::varchar, (o_orderdate, o_orderkey::varchar)) as last_event from orders group by floor(epoch(o_orderdate) / 86400 / 30)::bigint""")
 def response_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders stand in for responses."""
     o = table(spark, sf_dir, "orders")
     r = o.select(F.col("o_orderdate").cast("timestamp").alias("at"), F.when(F.col("o_orderstatus") == "F", 200).otherwise(429).alias("status"), F.col("o_orderpriority").alias("body"), F.lit("").alias("err"), F.col("o_custkey").alias("duration_ns"), F.col("o_orderkey").cast("string").alias("event"))
     out = stats.response_stats(r, 86400 * 30)
-    return out.select("w", "count", "min_ns", "max_ns", "avg_ns", F.coalesce(F.col("by_status")["200"], F.lit(0)).alias("finished"), "lifetime_count")
+    return out.select("w", "count", "min_ns", "max_ns", "avg_ns", F.coalesce(F.col("by_status")["200"], F.lit(0)).alias("finished"), "lifetime_count", "last_event")
 
 
 @query("select case o_orderstatus when 'F' then 200 else 429 end::int as status, count(*) as count from orders group by 1")
@@ -272,19 +280,10 @@ def prefix_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("line_no").alias("p_partkey"), string_of(F.col("prefix")["brand"]).alias("brand"), string_of(F.col("prefix")["size_of"]).alias("size"), "line")
 
 
-@query("""
-select doc_id, coalesce(nullif(regexp_extract(line, '^(\\w)\\w* (\\w+)', 1), ''), nullif(regexp_extract(line, '(\\w+)', 1), '')) as first from (select doc_id, split_part(text, chr(10), 1) as line from documents where text <> '')
-where regexp_matches(line, '\\w')""")
-def first_match_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of first lines only, as its SQL has it; first_match_regex_lines reads all."""
-    lines = _lines(table(spark, sf_dir, "documents").where("text <> ''"), F.split_part("text", F.lit("\n"), F.lit(1)), "doc_id")
-    return _first_match(lines).select(F.col("line_no").alias("doc_id"), s("first").alias("first"))
-
-
 @query("""
 select doc_id, line_no, coalesce(nullif(regexp_extract(line, '^(\\w)\\w* (\\w+)', 1), ''), nullif(regexp_extract(line, '(\\w+)', 1), '')) as first
 from (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as line_no from documents) where regexp_matches(line, '\\w')""")
-def first_match_regex_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def first_match_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document."""
     d = table(spark, sf_dir, "documents")
     lines = d.select(F.col("doc_id").cast("string").alias("source_file"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
@@ -323,14 +322,8 @@ def parse_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(v("order", "long").alias("l_orderkey"), v("n", "long").alias("l_linenumber"), v("quantity", "double").alias("l_quantity"), s("flag").alias("l_returnflag"), F.col("timestamp").cast("timestamp_ntz").alias("l_shipdate"))
 
 
-@query("select page_id, '10.0.0.' || (page_id % 200) as remote_addr, 200 + page_id % 7 as status, split_part(url, '?', 1) as url, strlen(html)::bigint as bytes, epoch_us(timestamp '2024-01-01') + page_id * 1000000 as us from pages")
-def parse_nginx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Urls up to their query strings, as its SQL has it; parse_nginx_urls reads whole ones."""
-    return _access_log(table(spark, sf_dir, "pages"), F.split_part("url", F.lit("?"), F.lit(1)))
-
-
 @query("select page_id, '10.0.0.' || (page_id % 200) as remote_addr, 200 + page_id % 7 as status, url, strlen(html)::bigint as bytes, epoch_us(timestamp '2024-01-01') + page_id * 1000000 as us from pages")
-def parse_nginx_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parse_nginx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _access_log(table(spark, sf_dir, "pages"), F.col("url"))
 
 
@@ -351,6 +344,25 @@ def parse_syslog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("line_no").alias("c_custkey"), v("priority"), v("facility"), v("severity"), s("process").alias("process"), s("content").alias("content"))
 
 
+@query("select c_custkey, c_custkey % 192 // 8 as facility, c_custkey % 8 as severity, 1::bigint as version, 'app' || c_nationkey as process, 'M' || c_custkey as msg_id, '[x@1 k=\"' || c_custkey || '\"]' as structured, c_name as message, epoch_us(timestamp '2024-03-01') + c_custkey * 1000 as us from customer")
+def parse_syslog_rfc5424(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    at = F.date_format(F.timestamp_millis(F.lit(1709251200000) + F.col("c_custkey")), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    line = F.concat(F.lit("<"), (F.col("c_custkey") % 192).cast("string"), F.lit(">1 "), at, F.lit(" host app"), F.col("c_nationkey").cast("string"), F.lit(" - M"), key, F.lit(' [x@1 k="'), key, F.lit('"] '), F.col("c_name"))
+    d = parsers.parse_syslog(_lines(c, line, "c_custkey"), mode="rfc5424")
+    v = lambda k: F.try_variant_get(get("data", k), "$", "long").alias(k)
+    return d.select(F.col("line_no").alias("c_custkey"), v("facility"), v("severity"), v("version"), s("process").alias("process"), s("msg_id").alias("msg_id"), s("structured_data").alias("structured"), s("message").alias("message"), F.unix_micros("timestamp").alias("us"))
+
+
+@query("select o_orderkey, 'DEBUG' as level, 'p' || o_custkey as pid, 'id' || o_orderkey as id, '/o/' || o_orderstatus as url, epoch_us(o_orderdate) as us from orders")
+def parse_arangodb_debug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    line = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(" [p"), F.col("o_custkey").cast("string"), F.lit('] DEBUG {requests} "begin","id'), F.col("o_orderkey").cast("string"), F.lit('","10.1.1.1","PUT","HTTP/1.1",/o/'), F.col("o_orderstatus"))
+    d = parsers.parse_arangodb(_lines(o, line, "o_orderkey"))
+    return d.select(F.col("line_no").alias("o_orderkey"), s("logLevel").alias("level"), s("pid").alias("pid"), s("id").alias("id"), s("fullURL").alias("url"), F.unix_micros("timestamp").alias("us"))
+
+
 @query("select o_orderkey, 'c' || o_custkey as id, 200 + o_orderkey % 5 as code, round(o_totalprice / 1000, 5) as total_time, epoch_us(o_orderdate) as us from orders")
 def parse_arangodb(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
@@ -359,16 +371,19 @@ def parse_arangodb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("line_no").alias("o_orderkey"), s("id").alias("id"), F.try_variant_get(get("data", "responseCode"), "$", "long").alias("code"), F.try_variant_get(get("data", "totalTime"), "$", "double").alias("total_time"), F.unix_micros("timestamp").alias("us"))
 
 
-@query("select o_orderkey, 'u' || o_custkey as user_name, o_totalprice as duration, 'select * from orders where o_orderkey = ?' as normalized, epoch_us(date_trunc('second', o_orderdate)) as us from orders")
+@query("select o_orderkey, 'u' || o_custkey as user_name, o_totalprice as duration, 'select * from orders where o_orderkey = ?' as normalized, epoch_us(date_trunc('second', o_orderdate)) as us, case when o_orderkey % 3 <> 0 then 't' || o_custkey end as trace_id, case o_orderkey % 3 when 1 then 'p1' when 2 then 'p2' end as parent_id from orders")
 def parse_postgresql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order is a slow query of two lines, read back in groups."""
     o = table(spark, sf_dir, "orders")
     head = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC [1-2] u"), F.col("o_custkey").cast("string"), F.lit("@db LOG:  duration: "), F.col("o_totalprice").cast("decimal(20,2)").cast("string"), F.lit(" ms  statement: SELECT * FROM orders"))
-    tail = F.concat(F.lit("\t  WHERE o_orderkey = "), F.col("o_orderkey").cast("string"))
+    trace = F.concat(F.lit("t"), F.col("o_custkey").cast("string"))
+    pairs = F.concat(F.lit(" /* parent_id='p1',trace_id='"), trace, F.lit("' */"))
+    comment = F.when(F.col("o_orderkey") % 3 == 1, pairs).when(F.col("o_orderkey") % 3 == 2, F.concat(F.lit(" /* traceparent=\"00-"), trace, F.lit("-p2-01\" */"))).otherwise("")
+    tail = F.concat(F.lit("\t  WHERE o_orderkey = "), F.col("o_orderkey").cast("string"), comment)
     file = F.concat(F.lit("f"), F.col("o_orderkey").cast("string"))
     lines = o.select(file.alias("source_file"), F.posexplode(F.array(head, tail)).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
     d = parsers.parse_postgresql(lines)
-    return d.select(F.substring("source_file", 2, 30).cast("long").alias("o_orderkey"), s("user").alias("user_name"), F.try_variant_get(get("data", "duration"), "$", "double").alias("duration"), s("normalized_query").alias("normalized"), F.unix_micros("timestamp").alias("us"))
+    return d.select(F.substring("source_file", 2, 30).cast("long").alias("o_orderkey"), s("user").alias("user_name"), F.try_variant_get(get("data", "duration"), "$", "double").alias("duration"), s("normalized_query").alias("normalized"), F.unix_micros("timestamp").alias("us"), s("trace.trace_id").alias("trace_id"), s("trace.parent_id").alias("parent_id"))
 
 
 @query("select o_orderkey, 'u' || o_custkey as user_name, round(o_totalprice / 1000, 5) as query_time, o_custkey as rows_sent, 'select * from orders where o_orderkey = ?' as normalized, 'orders' as tables, epoch(o_orderdate)::bigint as unix from orders")
@@ -394,21 +409,38 @@ def parse_mongodb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("line_no").alias("o_orderkey"), s("database").alias("database"), s("collection").alias("collection"), v("nscanned"), v("duration_ms"), s("normalized_query").alias("shape"), F.unix_micros("timestamp").alias("us"))
 
 
-@query("select * from (values ('{ b: 1, c: 2, a: 3 }', '{ \"a\": 1, \"b\": 1, \"c\": 1 }'), ('{ $in: [1, 2, 3] }', '{ \"$in\": 1 }'), ('{ }', '{  }')) t(doc, shape)")
+@query("""
+select event_id, '{ ' || array_to_string(list_transform(list_sort(['_id', event_type, 'user_id']), lambda k: '"' || k || '": ' || case when k = event_type then '{ "a": 1, "b": { "$gt": 1 } }' else '1' end), ', ') || ' }' as shape from events""")
 def mongo_query_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ("{ b: 1, c: 2, a: 3 }", "{ $in: [1, 2, 3] }", "{ }")
-    return spark.createDataFrame([(d, shape(parse_document(d))) for d in docs], "doc string, shape string")
+    """A document for each event, with keys that come in different orders."""
+    e = table(spark, sf_dir, "events")
+    doc = F.concat(F.lit("{ user_id: "), F.col("user_id").cast("string"), F.lit(", "), F.col("event_type"), F.lit(": { b: { $gt: "), F.col("event_id").cast("string"), F.lit(' }, a: [ 1, "x" ] }, _id: "'), F.col("event_type"), F.lit('" }'))
+    return e.select("event_id", shape_column(doc).alias("shape"))
+
+
+@query("""
+select o_orderkey, 2.0::double as read_lock, o_custkey::double as wait, (o_orderkey % 7)::bigint as held_us from orders""")
+def parse_mongodb_locks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locks of both forms, as fields of their own."""
+    o = table(spark, sf_dir, "orders")
+    at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.000+0000")
+    new = F.concat(F.lit(" I COMMAND  [conn1] query db.c query: { k: 1 } locks:{ Global: { acquireCount: { r: 2 }, timeAcquiringMicros: { r: "), F.col("o_custkey").cast("string"), F.lit(" } } } 5ms"))
+    old = F.concat(F.lit(" [conn1] query db.c query: { k: 1 } locks(micros) r:"), (F.col("o_orderkey") % 7).cast("string"), F.lit(" 5ms"))
+    lines = o.select(F.col("o_orderkey").cast("string").alias("source_file"), F.posexplode(F.array(F.concat(at, new), F.concat(at, old))).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
+    d = parsers.parse_mongodb(lines, now=NOW)
+    v = lambda k, t: F.max(F.try_variant_get(get("data", k), "$", t))
+    return d.groupBy(F.col("source_file").cast("long").alias("o_orderkey")).agg(v("global_read_lock", "double").alias("read_lock"), v("global_read_lock_wait_us", "double").alias("wait"), v("read_lock_held_us", "long").alias("held_us"))
 
 
 # --- SQL text
 
 
-@query("select o_orderkey, 'update orders set o_totalprice = ? where o_orderkey in (?, ?)' as normalized, 'orders' as tables, 'update' as statement from orders")
+@query("select o_orderkey, 'update orders set o_totalprice = ? where o_orderkey in (?, ?)' as normalized, 'orders' as tables, 'update' as statement, '/* why ' || o_custkey || ' */' as comments from orders")
 def normalize_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    q = F.concat(F.lit("UPDATE orders  SET o_totalprice="), F.col("o_totalprice").cast("decimal(20,2)").cast("string"), F.lit(" WHERE o_orderkey IN ("), F.col("o_orderkey").cast("string"), F.lit(",'x') /* why */"))
+    q = F.concat(F.lit("UPDATE /* why "), F.col("o_custkey").cast("string"), F.lit(" */ orders  SET o_totalprice="), F.col("o_totalprice").cast("decimal(20,2)").cast("string"), F.lit(" WHERE o_orderkey IN ("), F.col("o_orderkey").cast("string"), F.lit(",'x') /* not this */"))
     n = o.select("o_orderkey", normalize_column(q).alias("n"))
-    return n.select("o_orderkey", F.col("n.query").alias("normalized"), F.col("n.tables").alias("tables"), F.col("n.statement").alias("statement"))
+    return n.select("o_orderkey", F.col("n.query").alias("normalized"), F.col("n.tables").alias("tables"), F.col("n.statement").alias("statement"), F.col("n.comments").alias("comments"))
 
 
 @query("select c_custkey, 'show x like ? and n=?' as normalized from customer")
@@ -465,9 +497,11 @@ def outgoing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outgoing(e).where("samplerate = 1").select(F.try_variant_get(get("data", "id"), "$", "long").alias("event_id"), F.unix_micros("time").alias("us"))
 
 
-@query("select * from (values ('f', 0::bigint, 'a=1x'), ('f', 1::bigint, 'b=2x')) t(source_file, line_no, line)")
+@query(r"""
+select doc_id::varchar as source_file, unnest(range(len(x)))::bigint as line_no, unnest(x) as line from (select doc_id, string_split_regex(regexp_replace(text, '\r?\n\z', ''), '\r?\n') as x from documents)""")
 def lines_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_lines(spark, ["a=1x\n", "b=2x\r\n"], "f")
+    """Documents as files: their numbered lines."""
+    return numbered(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_file"), F.col("text").alias("value")))
 
 
 def queries() -> dict[str, Query]:
