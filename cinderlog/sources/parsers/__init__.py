@@ -1,10 +1,12 @@
 """Parsers: lines (source_file, line_no, line) to events (source_file, line_no, timestamp, sample_rate, data).
 
-Rows that don't parse go; ``rejects`` keeps them instead. REGISTRY has them by name; add an entry to add a parser.
+Rows that don't parse go; ``rejects`` gives them. REGISTRY has the parsers by name; add an entry to add one.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 from .database import parse_arangodb, parse_mongodb, parse_mysql, parse_postgresql
 from .plain import parse_csv, parse_json, parse_keyval, parse_nginx, parse_regex, parse_syslog
 
@@ -22,4 +24,11 @@ REGISTRY = {
     "syslog": parse_syslog,
 }
 
-__all__ = ["REGISTRY", *(f.__name__ for f in dict.fromkeys(REGISTRY.values()))]
+
+
+def rejects(lines: DataFrame, events: DataFrame) -> DataFrame:
+    """The lines that gave no event, for parsers of one line an event."""
+    return lines.join(events.select("source_file", "line_no"), ["source_file", "line_no"], "left_anti")
+
+
+__all__ = ["rejects", "REGISTRY", *(f.__name__ for f in dict.fromkeys(REGISTRY.values()))]

@@ -76,7 +76,10 @@ def _csv(line: Column, trim: bool) -> tuple[Column, Column]:
         x = F.regexp_replace(x, r"^[ \t]+", "") if trim else x
         return F.when(x.startswith('"'), F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"')).otherwise(x)
 
-    return led.rlike(rf"^(?:,{one})++\z"), F.transform(raw, clean)
+    # most lines have no quotes: their commas part them
+    plain = ~F.contains(line, F.lit('"'))
+    cut = F.split(line, ",", -1)
+    return plain | led.rlike(rf"^(?:,{one})++\z"), F.when(plain, F.transform(cut, clean) if trim else cut).otherwise(F.transform(raw, clean))
 
 
 def parse_csv(lines: DataFrame, *, fields: list[str] | str, prefix: str | None = None, timefield: str | None = None, fmt: str | None = None, trim_leading_space: bool = False, zone: str = "UTC", now: datetime | None = None) -> DataFrame:
@@ -89,8 +92,10 @@ def parse_csv(lines: DataFrame, *, fields: list[str] | str, prefix: str | None =
     df = strip_prefix(lines, prefix)
     ok, got = _csv(F.col("line"), trim_leading_space)
     df = df.where(F.col("line") != "").withColumn("_ok", ok).withColumn("_f", got).where(F.col("_ok") & (F.size("_f") == len(names)))
-    data = F.map_from_arrays(F.array(*map(F.lit, names)), F.transform("_f", lambda x: typed(x)))
-    return timed(df.withColumn("data", merge(data, F.col("prefix"))), timefield, fmt, zone, now)
+    # for a usual number of fields typed one by one, which compiles; a lambda would be interpreted
+    values = F.array(*(typed(F.col("_f")[i]) for i in range(len(names)))) if len(names) <= 64 else F.transform("_f", lambda x: typed(x))
+    data = F.map_from_arrays(F.array(*map(F.lit, names)), values)
+    return timed(df.withColumn("data", merge(data, F.col("prefix")) if prefix else data), timefield, fmt, zone, now)
 
 
 def compile_log_format(fmt: str) -> tuple[str, list[str]]:

@@ -36,10 +36,18 @@ def test_csv(spark):
     run = lambda *x, **k: data(P.parse_csv(lines(spark, *x), now=NOW, **k))
     assert run("7,1.5, x", "7,1.5", "", "7,1.5,x,y", '"a ""b"", c",,3', fields="a,b,c") == [{"a": 7, "b": 1.5, "c": " x"}, {"a": 'a "b", c', "b": "", "c": 3}]
     assert run("one, two, 3", fields=["a", "b", "c"], trim_leading_space=True) == [{"a": "one", "b": "two", "c": 3}]
+    assert run(" 1,  x,", fields=["a", "b", "c"], trim_leading_space=True) == [{"a": 1, "b": "x", "c": ""}]
+    many = ",".join(map(str, range(70)))
+    assert run(many, fields=[f"c{i}" for i in range(70)]) == [{f"c{i}": i for i in range(70)}]
     with pytest.raises(ValueError):
         run("a", fields="")
 
 
+def test_rejects(spark):
+    df = lines(spark, '{"a":1}', "junk", "", '{"b":2}')
+    assert [r["line"] for r in P.rejects(df, P.parse_json(df, now=NOW)).orderBy("line_no").collect()] == ["junk", ""]
+
+
 FORMAT = '$remote_addr - $remote_user [$time_local] "$request" $status $body_bytes_sent $request_time'
 
 
