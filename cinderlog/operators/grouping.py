@@ -5,15 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Values of the order (line numbers, or bytes as the tail source counts) that make a piece of a file. A large file's pieces go to many tasks.
+PIECE = 1 << 20
+
+
+def _pieces(df: DataFrame, order: str) -> DataFrame:
+    return df.withColumn("_k", F.floor(F.col(order) / PIECE))
 
-def islands(df: DataFrame, starts: Column, by: str = "source_file", order: str = "line_no") -> DataFrame:
-    """Adds group_id: how many rows up to here start a group. ``starts`` may use lag over the same window."""
-    w = Window.partitionBy(by).orderBy(order)
-    return df.withColumn("_s", starts.cast("int")).withColumn("group_id", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
 
+def _counted(df: DataFrame, per: DataFrame, by: str, order: str) -> DataFrame:
+    """df (by, _k, _s, ...) with group_id: the starts up to each row. per (by, _k, _n, _edge), a row for each piece: its starts, and whether
+    one at its first row, which _s does not have, is among them."""
+    earlier = F.sum("_n").over(Window.partitionBy(by).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1))
+    per = per.select(F.col(by).alias("_b"), F.col("_k").alias("_p"), (F.coalesce(earlier, F.lit(0)) + F.col("_edge")).alias("_before"))
+    inside = F.sum("_s").over(Window.partitionBy(by, "_k").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    j = df.withColumn("_inside", inside).alias("d").join(per.alias("p"), F.col(f"d.{by}").eqNullSafe(F.col("p._b")) & F.col("d._k").eqNullSafe(F.col("p._p")))
+    return j.withColumn("group_id", F.col("_inside") + F.col("_before")).drop("_k", "_s", "_inside", "_b", "_p", "_before")
 
-def previous(c: Column | str, by: str = "source_file", order: str = "line_no") -> Column:
-    return F.lag(c).over(Window.partitionBy(by).orderBy(order))
+
+def islands(df: DataFrame, starts: Column, by: str = "source_file", order: str = "line_no") -> DataFrame:
+    """Adds group_id: how many rows up to here start a group."""
+    d = _pieces(df, order).withColumn("_s", starts.cast("int"))
+    return _counted(d, d.groupBy(by, "_k").agg(F.sum("_s").alias("_n"), F.lit(0).alias("_edge")), by, order)
 
 
 def gather(df: DataFrame, by: str = "source_file", order: str = "line_no") -> DataFrame:
@@ -32,11 +45,18 @@ def is_server_line(line: Column) -> Column:
 
 
 def slow_log_groups(lines: DataFrame) -> DataFrame:
-    """MySQL: a comment or server line after a statement line starts a group; a last group without a statement goes."""
-    head = F.col("line").startswith("# ") | is_server_line(F.col("line"))
-    df = lines.withColumn("_h", head)
-    df = islands(df, F.col("_h") & ~F.coalesce(previous("_h"), F.lit(True)))
-    return gather(df.drop("_h")).where(~(F.element_at("lines", -1).startswith("# ") | is_server_line(F.element_at("lines", -1))))
+    """MySQL: a comment or server line after a statement line starts a group; a last group without a statement goes.
+
+    Pieces of a file are counted on their own first, from flags alone; what starts a group at a piece's first line is known by the last line of the piece before.
+    """
+    by, order = "source_file", "line_no"
+    d = _pieces(lines, order).withColumn("_h", F.col("line").startswith("# ") | is_server_line(F.col("line")))
+    inner = (F.col("_h") & ~F.coalesce(F.lag("_h").over(Window.partitionBy(by, "_k").orderBy(order)), F.lit(True))).cast("int")
+    per = d.select(by, "_k", order, "_h").withColumn("_s", inner).groupBy(by, "_k").agg(F.sum("_s").alias("_n"), F.min_by("_h", order).alias("_first"), F.max_by("_h", order).alias("_last"))
+    edge = F.col("_first") & ~F.coalesce(F.lag("_last").over(Window.partitionBy(by).orderBy("_k")), F.lit(True))
+    per = per.withColumn("_edge", edge.cast("int")).withColumn("_n", F.col("_n") + F.col("_edge"))
+    df = _counted(d.withColumn("_s", inner), per, by, order).drop("_h")
+    return gather(df).where(~(F.element_at("lines", -1).startswith("# ") | is_server_line(F.element_at("lines", -1))))
 
 
 def tab_groups(lines: DataFrame) -> DataFrame:

@@ -131,6 +131,23 @@ def test_groups(spark):
     assert grouping.last_lines(lines(spark, "", "x", "y", " ")).collect()[0]["line"] == "y"
 
 
+def test_groups_do_not_depend_on_pieces(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    text = [rng.choice(["# Time: x", "# User@Host: u @ h [1]", "SELECT 1", "FROM t;", "\tmore", ""]) for _ in range(300)]
+    df = lines(spark, *text).unionByName(lines(spark, *text[::-1]).withColumn("source_file", F.lit("g"))).repartition(5)
+    run = lambda f: sorted((r["source_file"], r["line_no"], r["lines"]) for r in f(df).collect())
+    want = [run(f) for f in (grouping.slow_log_groups, grouping.tab_groups)]
+    for n in (1, 7, 50):
+        monkeypatch.setattr(grouping, "PIECE", n)
+        assert [run(f) for f in (grouping.slow_log_groups, grouping.tab_groups)] == want
+    head = lambda x: x.startswith("# ")
+    starts = [i for i in range(300) if i == 0 or head(text[i]) and not head(text[i - 1])]
+    groups = [text[i:j] for i, j in zip(starts, [*starts[1:], 300], strict=True)]
+    assert [x for f, _, x in want[0] if f == "f"] == [g for g in groups if not head(g[-1])]
+
+
 def test_response_stats(spark):
     rows = [(0, 200, "ok ", "", 5, "a"), (10, 200, "ok", "", 0, "b"), (20, 429, "slow", "", 8, "c"), (70, 500, "", "boom", 2, "d")]
     df = spark.createDataFrame(rows, "s long, status int, body string, err string, duration_ns long, event string").withColumn("at", F.timestamp_seconds("s"))
