@@ -6,7 +6,9 @@ from a file. An absent key differs from a null value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DATA = "map<string,variant>"
@@ -25,6 +27,15 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def keep(df: DataFrame, name: str, value: Column, test: Callable[[Column], Column]) -> DataFrame:
+    """df with ``name``, without the rows whose value fails the test (a null one is tested too).
+
+    A filter on a computed column is moved below the projection that computes it, so that the value is made once for the filter and once again
+    for its use. No filter is moved below this generator: dear values, such as parsed lines, are made once.
+    """
+    return df.withColumn(name, F.explode(F.filter(F.array(value), test)))
+
+
 def trim_space(c: Column | str) -> Column:
     """All white space at both ends, not only blanks."""
     return F.regexp_replace(col(c), r"^[\s\u0085 ]+|[\s\u0085 ]+$", "")
@@ -126,6 +137,11 @@ def without(data: Column | str, *keys: str) -> Column:
     return F.map_filter(col(data), lambda k, _: ~k.isin(*keys)) if keys else col(data)
 
 
-def doubles(data: Column) -> Column:
-    """All JSON numbers at the top level as doubles."""
-    return F.transform_values(data, lambda _, v: F.when(kind(v).rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|FLOAT)"), F.try_variant_get(v, "$", "double").cast("variant")).otherwise(v))
+def doubles(data: Column, whole: str | None = None) -> Column:
+    """All JSON numbers at the top level as doubles; as longs those whose key ends in ``whole``."""
+
+    def one(k: Column, v: Column) -> Column:
+        number = F.when(kind(v).rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|FLOAT)"), variant(F.try_variant_get(v, "$", "double"))).otherwise(v)
+        return F.when(k.endswith(whole), variant(F.try_variant_get(v, "$", "long"))).otherwise(number) if whole else number
+
+    return F.transform_values(data, one)

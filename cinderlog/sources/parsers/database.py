@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import times
-from ...functions.compat import doubles, get, merge, record, to_double, to_long, trim_space, variant
+from ...functions.compat import doubles, get, keep, merge, record, to_double, to_long, trim_space, variant
 from ...functions.sqltext import normalize_column
 from ...operators.filters import strip_prefix
 from ...operators.grouping import carry_forward, is_server_line, slow_log_groups, tab_groups
@@ -75,9 +75,9 @@ def comment_pairs(query: Column) -> Column:
     return F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.substring_index(x, "=", 1).alias("key"), F.regexp_extract(x, r"=.(.*).$", 1).alias("value"))))
 
 
-def trace_ids(query: Column) -> dict[str, Column]:
-    """trace.trace_id and trace.parent_id of a query: both of the pairs of these names, else the middle parts of a traceparent (version-trace-parent-flags)."""
-    pairs = comment_pairs(query)
+def trace_ids(query: Column, pairs: Column | None = None) -> dict[str, Column]:
+    """trace.trace_id and trace.parent_id of a query (pairs: its comment_pairs, where a column has them): both of the pairs of these names, else the middle parts of a traceparent (version-trace-parent-flags)."""
+    pairs = comment_pairs(query) if pairs is None else pairs
     named = {k: get(pairs, k) for k in ("trace_id", "parent_id")}
     parts = F.split(get(pairs, "traceparent"), "-")
     edge = lambda i: F.try_element_at(parts, F.lit(i)).rlike("^[0-9]{2}$")
@@ -117,7 +117,8 @@ def parse_postgresql(lines: DataFrame, *, log_line_prefix: str = PREFIX, sampler
     duration = variant(to_double(slow["duration"]))
     fields = {n: F.coalesce(variant(to_long(c)), variant(c)) if n in numbers else variant(c) for n, c in g.items() if n not in ("timestamp", "timestamp_millis", "timestamp_unix")}
     fields |= {"duration": duration, "duration_ms": duration, "query": variant("query"), "normalized_query": variant(F.col("_n.query")), "tables": variant(F.col("_n.tables")), "comments": variant(F.col("_n.comments"))}
-    return finish(df.withColumn("_ts", ts), F.col("_ts"), record(fields | {k: variant(c) for k, c in trace_ids(F.col("query")).items()}))
+    df = df.withColumn("_pairs", comment_pairs(F.col("query"))).withColumn("_ts", ts)
+    return finish(df, F.col("_ts"), record(fields | {k: variant(c) for k, c in trace_ids(F.col("query"), F.col("_pairs")).items()}))
 
 
 # --- MySQL
@@ -160,12 +161,12 @@ def last_statement(lines: Column) -> Column:
 
 def mysql_fields(groups: DataFrame) -> DataFrame:
     """groups (lines, ...) without those that only ping, and ``f``: a struct of each group's fields, with the raw times iso, old and unix."""
-    df = groups.withColumn("_c", F.concat_ws("\n", F.filter("lines", lambda x: x.startswith("# ")))).where(~F.col("_c").rlike("(?m)^# administrator command: Ping; *$"))
+    df = keep(groups, "_c", F.concat_ws("\n", F.filter("lines", lambda x: x.startswith("# "))), lambda c: ~c.rlike("(?m)^# administrator command: Ping; *$"))
     said = F.regexp_extract_all("_c", F.lit(r"(\w+): *([^\s#]+)"), F.lit(0))
     pairs = F.map_from_entries(F.transform(said, lambda x: F.struct(F.substring_index(x, ":", 1).alias("key"), F.regexp_extract(x, ": *(.*)$", 1).alias("value"))))
-    df = df.withColumn("_m", pairs).withColumn("_s", last_statement(F.col("lines")))
-    query, used = F.nullif(F.col("_s.query"), F.lit("")), F.col("_s.used")
-    df = df.where(query.isNotNull()).withColumn("_n", normalize_column(F.when(~used, query)))
+    df = keep(df.withColumn("_m", pairs), "_s", last_statement(F.col("lines")), lambda x: F.coalesce(x["query"], F.lit("")) != "")
+    query, used = F.col("_s.query"), F.col("_s.used")
+    df = df.withColumn("_n", normalize_column(F.when(~used, query)))
     last = lambda c, p, i=1: F.try_element_at(F.regexp_extract_all(c, F.lit(p), F.lit(i)), F.lit(-1))
     other = F.concat_ws("\n", "lines")
     who = last("_c", "(?m)^# User@Host: ([^#\\n]+ @ [^#\\n]+)$")
@@ -231,11 +232,9 @@ def parse_mongodb(lines: DataFrame, *, prefix: str | None = None, log_partials:
         return pd.DataFrame(rows, columns=["fields", "ts", "replica_set", "complete"])
 
     df = strip_prefix(lines.withColumn("line", trim_space("line")), prefix)
-    df = df.withColumn("_p", run("line")).where(F.col("_p.fields").isNotNull() & (F.col("_p.complete") | F.lit(log_partials)))
+    df = keep(df.withColumn("_l", run("line")), "_p", F.col("_l"), lambda p: p["fields"].isNotNull() & (p["complete"] | F.lit(log_partials))).drop("_l")
     df = carry_forward(df, F.col("_p.replica_set"), "_rs")
-    data = F.try_parse_json(F.col("_p.fields")).cast("map<string,variant>")
-    held = F.transform_values(data, lambda k, v: F.when(k.endswith("_lock_held_us"), F.try_variant_get(v, "$", "long").cast("variant")).otherwise(v))
-    data = F.map_concat(doubles(data), F.map_filter(held, lambda k, _: k.endswith("_lock_held_us")))
+    data = doubles(F.try_parse_json(F.col("_p.fields")).cast("map<string,variant>"), whole="_lock_held_us")
     raw, instant = F.col("_p.ts"), times.moment(now)
     iso = F.coalesce(times.parse(raw, "2006-01-02T15:04:05.000-0700", zone), times.parse(raw, "2006-01-02T15:04:05.000Z07:00", zone))
     year = lambda y: times.parse(F.concat_ws(" ", y.cast("string"), F.regexp_replace(raw, "^[A-Z][a-z]{2} ", "")), "2006 Jan _2 15:04:05.000", zone)

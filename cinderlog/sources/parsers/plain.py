@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import times
-from ...functions.compat import DATA, doubles, get, kind, merge, no_data, record, string_of, trim_space, typed, variant
+from ...functions.compat import DATA, doubles, get, keep, kind, merge, no_data, record, string_of, trim_space, typed, variant
 from ...functions.regexes import group, matched, translate
 from ...operators.filters import allow_processes, any_value, line_filter, strip_prefix
 
@@ -35,7 +36,7 @@ def json_object(line: Column) -> Column:
 def parse_json(lines: DataFrame, *, prefix: str | None = None, timefield: str | None = None, fmt: str | None = None, zone: str = "UTC", now: datetime | None = None) -> DataFrame:
     """One object a line. Time comes from the object; prefix fields are merged after it, and win."""
     df = strip_prefix(lines.withColumn("line", trim_space("line")), prefix)
-    df = df.withColumn("data", json_object(F.col("line"))).where("data is not null")
+    df = keep(df, "data", json_object(F.col("line")), lambda x: x.isNotNull())
     df = times.resolve(df, timefield, fmt, zone, now, "_ts")
     return finish(df, F.col("_ts"), merge(F.col("data"), F.col("prefix")) if prefix else F.col("data"))
 
@@ -61,25 +62,25 @@ def parse_keyval(lines: DataFrame, *, prefix: str | None = None, timefield: str
     df = line_filter(df, filter_regex, invert) if filter_regex else df
     df = strip_prefix(df, prefix)
     bad = F.col("line").rlike(r'^[^"]*"(?:[^"\\]|\\.|"[^"]*")*+$') & (F.length(F.regexp_replace("line", r'\\.|[^"]', "")) % 2 == 1)
-    df = df.where(~bad).withColumn("data", keyval(F.col("line"))).where(any_value("data"))
+    df = keep(df.where(~bad), "data", keyval(F.col("line")), any_value)
     return timed(df.withColumn("data", merge(F.col("data"), F.col("prefix"))), timefield, fmt, zone, now)
 
 
-def _csv(line: Column, trim: bool) -> tuple[Column, Column]:
-    """(valid, fields)."""
+def _csv(line: Column, trim: bool) -> tuple[Column, Callable[[Column], Column]]:
+    """(fields as they are written, null for a line that isn't valid; what gives a field's value)."""
     ws = r"[ \t]*+" if trim else ""
+    bare = rf'{ws}(?:"[^",]*+"|[^,"]*+)'
     one = rf'{ws}(?:"(?:[^"]|"")*+"|[^,"]*+)'
     led = F.concat(F.lit(","), line)
     raw = F.regexp_extract_all(led, F.lit(f",({one})"), F.lit(1))
 
     def clean(x: Column) -> Column:
         x = F.regexp_replace(x, r"^[ \t]+", "") if trim else x
-        return F.when(x.startswith('"'), F.regexp_replace(F.regexp_replace(x, '^"|"$', ""), '""', '"')).otherwise(x)
+        return F.when(x.startswith('"'), F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x)
 
-    # most lines have no quotes: their commas part them
-    plain = ~F.contains(line, F.lit('"'))
-    cut = F.split(line, ",", -1)
-    return plain | led.rlike(rf"^(?:,{one})++\z"), F.when(plain, F.transform(cut, clean) if trim else cut).otherwise(F.transform(raw, clean))
+    # most lines have no quotes, or none around commas and quotes: their commas part them
+    plain = ~F.contains(line, F.lit('"')) | line.rlike(rf"^{bare}(?:,{bare})*+\z")
+    return F.when(plain, F.split(line, ",", -1)).when(led.rlike(rf"^(?:,{one})++\z"), raw), clean
 
 
 def parse_csv(lines: DataFrame, *, fields: list[str] | str, prefix: str | None = None, timefield: str | None = None, fmt: str | None = None, trim_leading_space: bool = False, zone: str = "UTC", now: datetime | None = None) -> DataFrame:
@@ -90,10 +91,14 @@ def parse_csv(lines: DataFrame, *, fields: list[str] | str, prefix: str | None =
     if not names or names == [""]:
         raise ValueError("csv needs field names")
     df = strip_prefix(lines, prefix)
-    ok, got = _csv(F.col("line"), trim_leading_space)
-    df = df.where(F.col("line") != "").withColumn("_ok", ok).withColumn("_f", got).where(F.col("_ok") & (F.size("_f") == len(names)))
+    cut, value = _csv(F.col("line"), trim_leading_space)
+    df = keep(df.where(F.col("line") != ""), "_f", cut, lambda x: x.isNotNull() & (F.size(x) == len(names)))
     # for a usual number of fields typed one by one, which compiles; a lambda would be interpreted
-    values = F.array(*(typed(F.col("_f")[i]) for i in range(len(names)))) if len(names) <= 64 else F.transform("_f", lambda x: typed(x))
+    if len(names) <= 64:
+        df = df.withColumns({f"_{i}": value(F.col("_f")[i]) for i in range(len(names))})
+        values = F.array(*(typed(f"_{i}") for i in range(len(names))))
+    else:
+        values = F.transform(F.transform("_f", value), lambda x: typed(x))
     data = F.map_from_arrays(F.array(*map(F.lit, names)), values)
     return timed(df.withColumn("data", merge(data, F.col("prefix")) if prefix else data), timefield, fmt, zone, now)
 
@@ -193,5 +198,5 @@ def parse_regex(lines: DataFrame, *, patterns: list[str] | str, prefix: str | No
     for p in ps:
         own = record({n: variant(group(line, p, i)) for n, i in p.named().items()})
         data = F.when(matched(line, p), own) if data is None else data.when(matched(line, p), own)
-    df = df.withColumn("data", data).where("data is not null or prefix is not null")
+    df = keep(df, "data", data, lambda x: x.isNotNull() | F.col("prefix").isNotNull())
     return timed(df.withColumn("data", merge(F.coalesce(F.col("data"), no_data()), F.col("prefix"))), timefield, fmt, zone, now)

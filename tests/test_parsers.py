@@ -195,3 +195,18 @@ def test_mongo_shapes(spark):
     assert parse_document('{ msg: "she said "yes, now" and went", n: NumberLong(8), d: new Date(0), r: /c\\/d/m }') == {"msg": 'she said "yes, now" and went', "n": "NumberLong(8)", "d": "1970-01-01T00:00:00.000Z", "r": "/c\\/d/m"}
     df = spark.createDataFrame([("{ b: 1, a: 2 }",), ("{ b: ",), (None,)], "t string")
     assert [r[0] for r in df.select(shape_column(F.col("t"))).collect()] == ['{ "a": 1, "b": 1 }', None, None]
+
+
+def test_csv_quotes(spark):
+    run = lambda *x, **k: data(P.parse_csv(lines(spark, *x), now=NOW, fields="a,b", **k))
+    said = ['"",b', '"""",b', '"x,y",b', '"x""y","b"', ",", 'a"x,b', '"a"x,b', ' "a",b', '"a,b']
+    assert run(*said) == [{"a": a, "b": b} for a, b in [("", "b"), ('"', "b"), ("x,y", "b"), ('x"y', "b"), ("", "")]]
+    assert run(' "a", b', ' "a,c",\t"b"', trim_leading_space=True) == [{"a": "a", "b": "b"}, {"a": "a,c", "b": "b"}]
+
+
+def test_values_are_made_once(spark):
+    """A filter on what a parser makes must not make it a second time."""
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    df = lines(spark, "x")
+    assert plan(P.parse_mongodb(df, now=NOW)).count("ArrowEvalPython") == 1
+    assert plan(P.parse_csv(df, fields="a,b", now=NOW)).count("regexp_extract_all(") == 1
