@@ -142,12 +142,15 @@ def build(spark: SparkSession, o: Options, lines: DataFrame | None = None, now:
 def follow(spark: SparkSession, o: Options, sink: Callable[[DataFrame], None], checkpoint: str, now: datetime | None = None) -> StreamingQuery:
     """Follows the files: each micro-batch of new lines goes through the plan to ``sink``, with the saved positions as starts.
 
-    Groups of lines are put together across batches first. With ``stop`` the query ends with what is there now. Adaptive rates start anew with each batch; rebasing needs build().
+    Groups of lines are put together across batches first. With ``stop`` the query ends with what is there now; formats of several lines refuse it,
+    as a last group is only known to be whole by waiting, for which batches go on: build() reads these to their end. Adaptive rates start anew with each batch; rebasing needs build().
     """
     configure(spark)
     o = prepared(o)
     if o.rebase_time:
         raise ValueError("rebasing reads files to their end: use build()")
+    if o.stop and o.parser in MULTI_LINE:
+        raise ValueError(f"with stop, {o.parser} logs are read by build(), without a checkpoint: groups of lines wait for more, so that a stream of them does not end")
     spark.dataSource.register(TailSource)
     stream = spark.readStream.format("tail").options(**tail_options(o)).load()
     if o.parser in MULTI_LINE:

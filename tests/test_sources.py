@@ -123,9 +123,18 @@ def test_streamed_carry_forward(spark, tmp_path):
 def test_streamed_groups(spark, tmp_path):
     schema = "source_file string, line_no long, line string"
     df = stream(spark, tmp_path, schema, [[("f", 0, "# Time: x"), ("f", 1, "SELECT")], [("f", 2, "1;"), ("f", 3, "# Time: y")], [("f", 4, "SELECT 2;"), ("f", 5, "# Time: z")]])
-    q = state.line_groups(df, "slow_log").writeStream.format("memory").queryName("grouped").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start()
-    q.awaitTermination(120)
-    got = [(r["line_no"], r["lines"]) for r in spark.sql("select * from grouped").orderBy("line_no").collect()]
+    q = state.line_groups(df, "slow_log", flush_ms=2_000).writeStream.format("memory").queryName("grouped").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start()
+    try:
+        for _ in range(240):  # batches that look at timeouts go on until the query is stopped
+            time.sleep(0.5)
+            got = [(r["line_no"], r["lines"]) for r in spark.sql("select * from grouped").orderBy("line_no").collect()]
+            if len(got) >= 2:
+                time.sleep(4)  # the last group, a comment alone, times out and goes
+                got = [(r["line_no"], r["lines"]) for r in spark.sql("select * from grouped").orderBy("line_no").collect()]
+                break
+        assert q.exception() is None
+    finally:
+        q.stop()
     assert got == [(0, ["# Time: x", "SELECT", "1;"]), (3, ["# Time: y", "SELECT 2;"])]
 
 
@@ -218,6 +227,12 @@ def test_follow(spark, tmp_path, parser, first, then, want):
         q.stop()
 
 
+@pytest.mark.parametrize("parser", ["mysql", "postgresql"])
+def test_follow_refuses_to_stop_in_groups(spark, tmp_path, parser):
+    with pytest.raises(ValueError, match="build"):
+        pipeline.follow(spark, Options(parser=parser, files=[str(tmp_path / "x.log")], backfill=True), print, str(tmp_path / "ck"), NOW)
+
+
 def test_rebase_sees_unsampled_lines(spark, tmp_path):
     (tmp_path / "a.log").write_text("".join(f'{{"time":"2021-03-04T05:06:{i:02d}Z","n":{i}}}\n' for i in range(50)))
     o = Options(parser="json", files=[f"{tmp_path}/a.log"], backfill=True, rebase_time=True, samplerate=10, seed=3)
